@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("repetition",)
+MODULES: tuple[str, ...] = ("repetition", "stuffing")
 
 QUERIES: dict = {}
 SQL: dict = {}
