@@ -14,6 +14,7 @@ repeated rows; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import re as standard
 from collections import Counter
 from collections.abc import Iterator
 
@@ -45,11 +46,11 @@ CHI_SQUARE_6 = {0.90: 10.645, 0.975: 14.449}
 STUFFED_UNIT, SPAM_SHARE = 0.4, 0.5
 DIMS = len(SPAM_SIGN)
 
-_WORD = re.compile(r"\p{L}[\p{L}\p{M}'’\-]*")
-_LINK = re.compile(r"https?://\S+|www\.\S+|\b(?:[\w\-]+\.)+(?:[a-z]{2,8})\b(?:/\S*)?(?<!\be\.g)(?<!\bi\.e)")
-_PRICE = re.compile(r"(?:[£$€]|\b(?:EUR|USD|GBP)\b)\s?\d[\d.,]*|\b\d[\d.,]*\s?(?:€|EUR\b|USD\b)")
-_TAG = re.compile(r"(?<!\S)#\w{3,}")
-_MARKDOWN_LINK = re.compile(r"\[([^\]\n]*)\]\([^)\n]*\)")
+_WORD = standard.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
+_LINK = standard.compile(r"https?://\S+|www\.\S+|\b(?:[\w\-]+\.)+(?:[a-z]{2,8})\b(?:/\S*)?(?<!\be\.g)(?<!\bi\.e)")
+_PRICE = standard.compile(r"(?:[£$€]|\b(?:EUR|USD|GBP)\b)\s?\d[\d.,]*|\b\d[\d.,]*\s?(?:€|EUR\b|USD\b)")
+_TAG = standard.compile(r"(?<!\S)#\w{3,}")
+_MARKDOWN_LINK = standard.compile(r"\[([^\]\n]*)\]\([^)\n]*\)")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+(?=\p{Lu})|(?<=[。！？])|\n")
 _CLAUSE = re.compile(r"\s*[,;:|/·•»«›→、，；]\s*|\s+[-–—]\s+")
 _EXEMPT = re.compile(
@@ -57,10 +58,10 @@ _EXEMPT = re.compile(
     re.IGNORECASE,
 )
 _HAN_PHRASE = re.compile(r"\p{Han}{7,}|[" + HAN_FUNCTION + "]")
-_OF = {}
+FUNCTION_OF = {}
 for _lang, _words in FUNCTION_WORDS.items():
     for _w in _words.split():
-        _OF.setdefault(_w, []).append(_lang)
+        FUNCTION_OF.setdefault(_w, []).append(_lang)
 
 
 def _loops(ids: np.ndarray) -> np.ndarray:
@@ -82,13 +83,13 @@ def _loops(ids: np.ndarray) -> np.ndarray:
 
 def _contexts(items: np.ndarray, around: np.ndarray) -> np.ndarray:
     """For each position the number of distinct surroundings its item has in the text."""
-    both = np.unique(np.stack((items, around), 1), axis=0)
-    found, number = np.unique(both[:, 0], return_counts=True)
+    _, at = np.unique(items * np.uint64(0x9E3779B97F4A7C15) ^ around * np.uint64(0xC2B2AE3D27D4EB4F), return_index=True)
+    found, number = np.unique(items[at], return_counts=True)
     return number[np.searchsorted(found, items)]
 
 
 def _sentence_like(words: list[str]) -> bool:
-    return len(words) >= 5 and sum(w in _OF for w in words) >= max(2, 0.15 * len(words))
+    return len(words) >= 5 and sum(w in FUNCTION_OF for w in words) >= max(2, 0.15 * len(words))
 
 
 def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], float]:
@@ -106,11 +107,11 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
     counts = Counter(words)
     function = 0
     for w, k in counts.items():
-        if w in _OF:
+        if w in FUNCTION_OF:
             function += k
-            for lang in _OF[w]:
+            for lang in FUNCTION_OF[w]:
                 hits[lang] += k
-    han = len(re.findall(r"\p{Han}", text))
+    han = 0 if max(text) < "\u2e80" else len(re.findall(r"\p{Han}", text))
     if han > 0.3 * size:
         lang = "zh"
         function = sum(k for w, k in counts.items() if any(c in HAN_FUNCTION for c in w))
@@ -118,7 +119,7 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
         lang = hits.most_common(1)[0][0] if hits and function >= max(3, 0.08 * n) else None
     known = {w: i for i, w in enumerate(counts)}
     ids = np.fromiter((known[w] for w in words), np.int64, n)
-    content = np.fromiter((w not in _OF and not (lang == "zh" and _HAN_PHRASE.search(w)) for w in counts), bool, len(counts))
+    content = np.fromiter((w not in FUNCTION_OF and not (lang == "zh" and _HAN_PHRASE.search(w)) for w in counts), bool, len(counts))
     loop = _loops(ids) if n >= 4 else np.zeros(n, bool)
     live = ~loop
     stuffed, listed = np.zeros(n, bool), np.zeros(n, bool)
@@ -155,8 +156,9 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
     link_share = link_chars / size
     function_share = function / max(n, 1)
     spam = 0.0
-    # without stuffed words, links or tags no part can count as spam: a part needs STUFFED_UNIT of its words stuffed
-    if n and float(listed.mean()) > STUFFED_UNIT * SPAM_SHARE / 2 or len(links) >= 3 or len(tags) >= 3 or len(_PRICE.findall(text)) >= 3:
+    # spam parts have STUFFED_UNIT of their words stuffed, or are items of up to six words, half of them listed
+    cuts = sum(text.count(c) for c in ",;|/·•»›、，；\n")
+    if share > 0.7 * STUFFED_UNIT * SPAM_SHARE or n and 6 * cuts > 0.4 * n and float(listed.mean()) > 0.15 or len(links) >= 3 or len(tags) >= 5 or _PRICE.search(text):
         spam = _spam_share(text, {words[i] for i in np.flatnonzero(stuffed)}, {words[i] for i in np.flatnonzero(listed)})
     outside = 1.0 - min(1.0, function_share / 0.25)
     return lang, (link_share, marks / max(n + len(links), 1), entropy, share, function_share, outside), spam
@@ -214,7 +216,7 @@ def _keyword_chars(sentence: str, stuffed: set[str], listed: set[str]) -> int:
     if not words:
         return 0
     hit = sum(w in stuffed for w in words)
-    function = sum(w in _OF for w in words)
+    function = sum(w in FUNCTION_OF for w in words)
     if hit >= STUFFED_UNIT * len(words):
         # a sentence around keywords names them over and over; a copied sentence names each word once
         if function <= 0.1 * len(words) or hit >= 0.45 * len(words) and hit >= 1.25 * len({w for w in words if w in stuffed}):
@@ -226,10 +228,10 @@ def _keyword_chars(sentence: str, stuffed: set[str], listed: set[str]) -> int:
         inner = _WORD.findall(clause.lower())
         if not inner:
             continue
-        own = [w for w in inner if w not in _OF]
+        own = [w for w in inner if w not in FUNCTION_OF]
         if len(own) == len(inner) and sum(w in stuffed for w in inner) >= STUFFED_UNIT * len(inner):
             spam += len(clause) + 2
-        elif len(inner) <= 6 and inner[0] not in _OF and len(inner) - len(own) <= 1 and sum(w in listed for w in own) >= 0.5 * len(own):
+        elif len(inner) <= 6 and inner[0] not in FUNCTION_OF and len(inner) - len(own) <= 1 and sum(w in listed for w in own) >= 0.5 * len(own):
             spam += len(clause) + 2
     return min(spam, len(sentence))
 
