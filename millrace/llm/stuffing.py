@@ -49,6 +49,8 @@ DIMS = len(SPAM_SIGN)
 _WORD = standard.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _LINK = standard.compile(r"https?://\S+|www\.\S+|\b(?:[\w\-]+\.)+(?:[a-z]{2,8})\b(?:/\S*)?(?<!\be\.g)(?<!\bi\.e)")
 _PRICE = standard.compile(r"(?:[£$€]|\b(?:EUR|USD|GBP)\b)\s?\d[\d.,]*|\b\d[\d.,]*\s?(?:€|EUR\b|USD\b)")
+_CURRENCIES = ("£", "$", "€", "EUR", "USD", "GBP")
+_DOTTED = standard.compile(r"\.[a-z]{2}|www\.")
 _TAG = standard.compile(r"(?<!\S)#\w{3,}")
 _MARKDOWN_LINK = standard.compile(r"\[([^\]\n]*)\]\([^)\n]*\)")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+(?=\p{Lu})|(?<=[。！？])|\n")
@@ -71,10 +73,10 @@ def _loops(ids: np.ndarray) -> np.ndarray:
     for p in range(1, 9):
         if n < 4 * p:
             break
-        same = np.concatenate(([0], (ids[p:] == ids[:-p]).astype(np.int8), [0]))
-        if int(same.sum()) < 3 * p:
+        equal = ids[p:] == ids[:-p]
+        if np.count_nonzero(equal) < 3 * p:
             continue
-        turn = np.flatnonzero(np.diff(same))
+        turn = np.flatnonzero(np.diff(np.concatenate(([0], equal.astype(np.int8), [0]))))
         for a, b in zip(turn[::2], turn[1::2]):
             if b - a >= 3 * p:
                 out[a : b + p] = True
@@ -97,7 +99,7 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
     text = text or ""
     size = len(text) - text.count(" ")
     low = text.lower()
-    links = [m.span() for m in _LINK.finditer(text)] if "." in text else []
+    links = [m.span() for m in _LINK.finditer(text)] if "://" in text or _DOTTED.search(text) else []
     bare = _LINK.sub(" ", low) if links else low
     words = _WORD.findall(bare)
     n = len(words)
@@ -106,20 +108,21 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
     hits: Counter = Counter()
     counts = Counter(words)
     function = 0
-    for w, k in counts.items():
-        if w in FUNCTION_OF:
-            function += k
-            for lang in FUNCTION_OF[w]:
-                hits[lang] += k
-    han = 0 if max(text) < "\u2e80" else len(re.findall(r"\p{Han}", text))
+    for w in counts.keys() & FUNCTION_OF.keys():
+        function += counts[w]
+        for lang in FUNCTION_OF[w]:
+            hits[lang] += counts[w]
+    han = 0 if text.isascii() or max(text) < "\u2e80" else len(re.findall(r"\p{Han}", text))
     if han > 0.3 * size:
         lang = "zh"
         function = sum(k for w, k in counts.items() if any(c in HAN_FUNCTION for c in w))
     else:
         lang = hits.most_common(1)[0][0] if hits and function >= max(3, 0.08 * n) else None
     known = {w: i for i, w in enumerate(counts)}
-    ids = np.fromiter((known[w] for w in words), np.int64, n)
-    content = np.fromiter((w not in FUNCTION_OF and not (lang == "zh" and _HAN_PHRASE.search(w)) for w in counts), bool, len(counts))
+    ids = np.array([known[w] for w in words], np.int64)
+    content = np.array([w not in FUNCTION_OF for w in counts], bool)
+    if lang == "zh":
+        content &= ~np.array([bool(_HAN_PHRASE.search(w)) for w in counts], bool)
     loop = _loops(ids) if n >= 4 else np.zeros(n, bool)
     live = ~loop
     stuffed, listed = np.zeros(n, bool), np.zeros(n, bool)
@@ -127,11 +130,14 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
         # stuffing sets the same words into ever new contexts; copied sentences keep theirs
         size_v = np.uint64(len(counts) + 1)
         wide = np.concatenate(([size_v - np.uint64(1)], ids.astype(np.uint64), [size_v - np.uint64(1)]))
+        tally = np.bincount(ids[live], minlength=len(counts))  # an item has no more contexts than occurrences
         single = content[ids] & live
-        if single.any():
-            contexts = _contexts(wide[1:-1][single], wide[:-2][single] * size_v + wide[2:][single])
-            stuffed[np.flatnonzero(single)[contexts >= max(4, 0.025 * n)]] = True
-        pair_ok = content[ids[:-1]] & content[ids[1:]] & live[:-1] & live[1:]
+        frequent = single & (tally >= max(4, 0.025 * n))[ids]
+        if frequent.any():
+            contexts = _contexts(wide[1:-1][frequent], wide[:-2][frequent] * size_v + wide[2:][frequent])
+            stuffed[np.flatnonzero(frequent)[contexts >= max(4, 0.025 * n)]] = True
+        common = single & (tally >= max(3, 0.008 * n))[ids]
+        pair_ok = common[:-1] & common[1:]
         if pair_ok.any():
             pair = wide[1:-2] * size_v + wide[2:-1]
             contexts = _contexts(pair[pair_ok], wide[:-3][pair_ok] * size_v + wide[3:][pair_ok])
@@ -142,23 +148,24 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
         terms = np.flatnonzero(single)
         if len(terms) > 2:
             t = np.concatenate(([size_v - np.uint64(1)], ids[terms].astype(np.uint64), [size_v - np.uint64(1)]))
-            contexts = _contexts(t[1:-2] * size_v + t[2:-1], t[:-3] * size_v + t[3:])
-            often = np.flatnonzero(contexts >= max(3, 0.008 * n))
-            listed[terms[often]] = True
-            listed[terms[often + 1]] = True
-    link_chars = sum(b - a for a, b in links)
-    tags = _TAG.findall(text)
+            both = np.flatnonzero(common[terms[:-1]] & common[terms[1:]])
+            if len(both):
+                contexts = _contexts(t[1:-2][both] * size_v + t[2:-1][both], t[:-3][both] * size_v + t[3:][both])
+                often = both[contexts >= max(3, 0.008 * n)]
+                listed[terms[often]] = True
+                listed[terms[often + 1]] = True
+    tags = _TAG.findall(text) if "#" in text else []
     marks = len(tags) + sum(text.count(c) for c in "|»·•")
     freq = np.fromiter(counts.values(), float, len(counts)) / max(n, 1)
     entropy = float(-(freq * np.log(freq)).sum() / math.log(n)) if n > 1 else 1.0
     listed |= stuffed
     share = float(stuffed.mean()) if n else 0.0
-    link_share = link_chars / size
+    link_share = sum(b - a for a, b in links) / size
     function_share = function / max(n, 1)
     spam = 0.0
     # spam parts have STUFFED_UNIT of their words stuffed, or are items of up to six words, half of them listed
     cuts = sum(text.count(c) for c in ",;|/·•»›、，；\n")
-    if share > 0.7 * STUFFED_UNIT * SPAM_SHARE or n and 6 * cuts > 0.4 * n and float(listed.mean()) > 0.15 or len(links) >= 3 or len(tags) >= 5 or _PRICE.search(text):
+    if share > 0.7 * STUFFED_UNIT * SPAM_SHARE or n and 6 * cuts > 0.4 * n and float(listed.mean()) > 0.15 or len(links) >= 3 or len(tags) >= 5 or any(c in text for c in _CURRENCIES):
         spam = _spam_share(text, {words[i] for i in np.flatnonzero(stuffed)}, {words[i] for i in np.flatnonzero(listed)})
     outside = 1.0 - min(1.0, function_share / 0.25)
     return lang, (link_share, marks / max(n + len(links), 1), entropy, share, function_share, outside), spam
