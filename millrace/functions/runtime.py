@@ -32,7 +32,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def written_bytes(df: DataFrame) -> int:
     """Size of a DataFrame that reads files, as the optimizer knows it."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES, factor: float = 4.0) -> DataFrame:
