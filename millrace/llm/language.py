@@ -13,6 +13,7 @@ repeated rows are judged each; an empty table gives an empty result (and empty d
 
 from __future__ import annotations
 
+import re as standard
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,7 +50,7 @@ LABEL_NAMES = {
 
 _REFERENCE = re.compile(r"\s*(?:\[\d+\]|\(\d+\)\s+\p{Lu}\.|\d+\.\s+\p{Lu}\. \p{Lu})")
 _QUOTE = re.compile(r"“[^”\n]{0,600}”|„[^“”\n]{0,600}[“”]|«[^»\n]{0,600}»|»[^«\n]{0,600}«|「[^」\n]{0,600}」|(?<!\w)\"[^\"\n]{0,600}\"(?!\w)|(?<!\w)‘[^’\n]{0,600}’(?!\w)")
-_END = re.compile(r"(?<=[.!?])[\"”»]?\s+|(?<=[。！？])")
+_END = standard.compile(r"(?<=[.!?])[\"”»]?\s+|(?<=[。！？])")
 _TERMINAL = ".!?。！？"
 _LINK = re.compile(r"https?://\S+")
 _HAN = re.compile(r"\p{Han}")
@@ -107,6 +108,7 @@ class Judge:
                 d.precompute_compress(LEVEL)
                 coder = zs.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
                 self.coders.append((lang, coder.compress))
+        self.latin = [c for c in self.coders if c[0] != "zh"]
 
     @classmethod
     def of(cls, dictionaries: dict[str, bytes]) -> Judge:
@@ -121,9 +123,15 @@ class Judge:
         if not self.coders:
             return None, 0.0
         raw = sentence.encode("utf-8", "replace")
-        sizes = [(len(code(raw)), lang) for lang, code in self.coders]
-        (best, lang), *_ = ranked = sorted(sizes)
-        margin = (ranked[1][0] - best) / ranked[1][0] if len(ranked) > 1 else 1.0
+        # a text in one script is not encoded with the dictionary of the other: nothing in it would match
+        coders = self.latin if len(raw) == len(sentence) or not _HAN.search(sentence) else self.coders
+        sizes = [len(code(raw)) for _, code in coders]
+        if not sizes:
+            return None, 0.0
+        best = min(sizes)
+        lang = coders[sizes.index(best)][0]
+        sizes.remove(best)
+        margin = 1 - best / min(sizes) if sizes else 1.0
         return (lang if margin >= MARGIN else None), margin
 
 
