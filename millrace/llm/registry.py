@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("repetition", "stuffing", "language", "markup")
+MODULES: tuple[str, ...] = ("repetition", "stuffing", "language", "markup", "scans")
 
 QUERIES: dict = {}
 SQL: dict = {}
