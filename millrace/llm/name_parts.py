@@ -222,6 +222,11 @@ class Register:
         ranked = sorted((d, p) for p in near if (d := distance(token, p, limit)) <= limit)
         return [p for d, p in ranked if d == ranked[0][0]]
 
+    def place_in(self, text: str) -> str | None:
+        """The only known place that a name of an organisation outside the register holds."""
+        found = {places[0] for t in org_tokens(text) if len(places := self.place_of(t)) == 1}
+        return found.pop() if len(found) == 1 else None
+
     def word_of(self, token: str) -> str | None:
         """The kind or field word a token stands for: itself, a misspelling, or an abbreviation."""
         if token in _KIND_OF or token in self.fields:

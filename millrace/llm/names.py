@@ -32,6 +32,8 @@ from millrace.sources.tables import columns_or_null, table
 RADIUS = 2
 #: A form is a misspelling of another in its radius if that is at least so many times as frequent.
 SUPPORT_RATIO = 5
+#: A form so rare may be one of a form of like support, if the given names agree.
+RARE_FORM = 2
 #: Names per pivot, and most pivots of a cell.
 PIVOT_NAMES, MOST_PIVOTS = 64, 256
 #: A token is a given name if it opens at least this share of names (and at least LEAST_GIVEN).
@@ -103,6 +105,8 @@ def _reader(units: list[tuple], givens: frozenset[str]):
                 head, _, tail = local.partition(".")
                 address = fold(tail.rstrip("0123456789")) if len(head) == 1 and tail else None
                 place = place_of.get(unit) or (fold(town.strip()) if town and town.strip() else None)
+                if place is None and inst:
+                    place = register.place_in(inst)
                 if place is None and domain:
                     place = fold(domain.split(".")[0]) if fold(domain.split(".")[0]) in register.at else None
                 sur, given, initial, middle, middle_initial = names[full]
@@ -136,10 +140,18 @@ def read_mentions(mentions: DataFrame, org_units: DataFrame) -> DataFrame:
 def spelled_right(parsed: DataFrame) -> DataFrame:
     """(place, initial, typed, surname): the surname each typed form stands for in its cell."""
     counts = parsed.filter("typed is not null").groupBy("typed").agg(F.count("*").alias("n"), F.max("certain").alias("certain"))
-    cells = parsed.filter("typed is not null and place is not null and initial is not null").groupBy("place", "initial", "typed").agg(F.count("*").alias("n_cell"))
+    cells = parsed.filter("typed is not null and place is not null and initial is not null")
+    cells = cells.groupBy("place", "initial", "typed").agg(F.collect_set("given").alias("givens"))  # of one initial: a few
     near = radius_join(cells, ["place", "initial"], "typed")
-    rare, common = counts.select(F.col("typed").alias("name"), "n", "certain"), counts.select(F.col("typed").alias("other"), F.col("n").alias("n_other"), F.col("certain").alias("sure"))
-    near = near.join(rare, "name").join(common, "other").filter((~F.col("certain")) & ((F.col("n") * SUPPORT_RATIO <= F.col("n_other")) | (F.col("sure") & (F.col("n") <= F.col("n_other")))))
+    here = cells.join(counts, "typed")
+    one = here.select("place", "initial", F.col("typed").alias("name"), "n", "certain", "givens")
+    two = here.select("place", "initial", F.col("typed").alias("other"), F.col("n").alias("n_other"), F.col("certain").alias("sure"), F.col("givens").alias("givens_other"))
+    near = near.join(one, ["place", "initial", "name"]).join(two, ["place", "initial", "other"]).filter(~F.col("certain"))
+    rarer = (F.col("n") < F.col("n_other")) | ((F.col("n") == F.col("n_other")) & (F.col("sure") | (F.col("name") > F.col("other"))))
+    same_given = F.arrays_overlap("givens", "givens_other")
+    slip = (F.col("distance") == 1) & ((F.size("givens") == 0) | (F.size("givens_other") == 0))
+    supported = (F.col("n") * SUPPORT_RATIO <= F.col("n_other")) | F.col("sure")
+    near = near.filter(rarer & (supported | ((F.col("n") <= RARE_FORM) & (same_given | slip))))
     order = F.struct(-F.col("distance"), F.col("sure"), F.col("n_other"), F.col("other"))
     return near.groupBy("place", "initial", F.col("name").alias("typed")).agg(F.max_by("other", order).alias("surname"))
 
