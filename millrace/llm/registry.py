@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("repetition", "stuffing", "language", "markup", "scans", "packing", "mixing", "names")
+MODULES: tuple[str, ...] = ("repetition", "stuffing", "language", "markup", "scans", "packing", "mixing", "names", "matching")
 
 QUERIES: dict = {}
 SQL: dict = {}
