@@ -5,17 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters and their replacements, in the order in which they apply.
-LIGATURES = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "ft"), ("ﬆ", "st"), ("Ĳ", "IJ"))
-LATEX_ESCAPES = (("\\", "\\textbackslash "), ("&", "\\&"), ("%", "\\%"), ("#", "\\#"), ("_", "\\_"), ("≥", "\\geq "), ("≤", "\\leq "))
-ENVIRONMENTS = ("bmatrix", "pmatrix", "matrix", "tabular", "table")
-SCRIPT_OF = {
-    "chinese": "ch", "english": "en", "german": "german", "french": "french", "italian": "latin", "spanish": "latin", "portuguese": "latin", "dutch": "latin",
-    "russian": "cyrillic", "arabic": "arabic", "hindi": "devanagari", "japanese": "japan", "korean": "korean", "greek": "greek",
+# Characters, environments, languages and marks, with their replacements in the order in which they apply.
+LIGATURES = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "ft"), ("ﬆ", "st"), ("ꜳ", "aa"))
+LATEX_ESCAPES = (
+    ("\\", "\\textbackslash"), ("&", "\\&"), ("%", "\\%"), ("#", "\\#"), ("}", "\\}"), ("{", "\\{"), ("_", "\\_{}"), ("$", "\\$"), ("~", "\\~{}"), ("^", "\\^{}"),
+    ("≥", "\\geq"), ("≤", "\\leq"),
+)
+LATEX_SIGNS = {
+    "&": "\\&", "%": "\\%", "$": "\\$", "#": "\\#", "_": "\\_", "{": "\\{", "}": "\\}", "~": "\\textasciitilde{}", "^": "\\^{}", "\\": "\\textbackslash{}",
+    "<": "\\textless{}", ">": "\\textgreater{}",
 }
-FONT_FLAGS = ((1, "superscript"), (2, "italic"), (4, "serifed"), (8, "monospaced"), (16, "bold"))
+ENVIRONMENTS = ("bmatrix", "pmatrix", "matrix", "tabular", "table")
+SCRIPT_LANGUAGES = {
+    "latin": "af az bs cs cy da de es et fr ga hr hu id is it ku la lt lv mi ms mt nl no oc pi pl pt ro rs_latin sk sl sq sv sw tl tr uz vi french german",
+    "arabic": "ar fa ug ur",
+    "cyrillic": "ru rs_cyrillic be bg uk mn abq ady kbd ava dar inh che lbe lez tab",
+    "devanagari": "hi mr ne bh mai ang bho mah sck new gom sa bgc",
+}
+FONT_FLAGS = ((1, "superscript", None), (2, "italic", None), (4, "serifed", "sans"), (8, "monospaced", "proportional"), (16, "bold", None))
 SUBSCRIPTS, SUPERSCRIPTS = "₀₁₂₃₄₅₆₇₈₉", "⁰¹²³⁴⁵⁶⁷⁸⁹"
-PUNCTUATION_REMOVED = ("*", "_", "`", "#", "\\", "{", "}", "$", "[", "]", "(", ")", "|", "~", "^", "=")
+MARKS_REMOVED = (
+    ("\\ ", ""), (" ", ""), ("\n", ""), ("*", ""), ("_", ""), ("^", ""), ("\\[", ""), ("\\]", ""), ("\\(", ""), ("\\)", ""), ("\\right", ""), ("\\left", ""),
+    ("\\sum", "X"), ("{", ""), ("}", ""), ("#", ""), ("[REF]", ""), ("[ENDREF]", ""), ("\\varphi", "\\phi"), ("\\quad", ""), ("\\qquad", ""), ("\\hskip", ""),
+    ("\\vskip", ""), ("\\frac", ""), ("\\rm", ""), ("\\,", ""), ("-", ""),
+)
 
 
 def strip(c: Column) -> Column:
@@ -44,10 +57,16 @@ def replace_all(c: Column, pairs) -> Column:
 
 
 def escape_latex(c: Column) -> Column:
-    """Characters with a meaning in LaTeX, one after the other."""
+    """Characters with a meaning in LaTeX, one after the other."""
     return replace_all(c, LATEX_ESCAPES)
 
 
+def escape_latex_signs(c: Column) -> Column:
+    """T4: the same characters all at once, so that no replacement is replaced again."""
+    table = F.create_map(*[F.lit(x) for pair in LATEX_SIGNS.items() for x in pair])
+    return F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+
+
 def close_environments(c: Column) -> Column:
     """An end for every environment that is begun more often than ended."""
     for name in ENVIRONMENTS:
@@ -91,7 +110,7 @@ def join_pretty_lines(c: Column) -> Column:
 
 def plain_lower(c: Column) -> Column:
     """Marks away, lower case."""
-    return F.lower(replace_all(c, [(x, "") for x in PUNCTUATION_REMOVED]))
+    return F.lower(replace_all(c, MARKS_REMOVED))
 
 
 def first_words(c: Column, n: int = 8) -> Column:
@@ -141,20 +160,20 @@ def csl_date(c: Column) -> Column:
 
 
 def is_heading_name(c: Column) -> Column:
-    """A usable section name: not empty, no acknowledgement, and more than one in a hundred characters are letters."""
+    """A usable section name: not empty, no acknowledgements, and more than one in a hundred characters are letters."""
     letters = F.length(F.regexp_replace(c, r"[^\p{L}]", ""))
     return (F.length(c) > 0) & ~F.lower(c).rlike("^acknowledge?ments?") & (letters > 0.01 * F.length(c))
 
 
 def script_family(c: Column) -> Column:
-    """Recogniser family of a language name; latin for others."""
-    table = F.create_map(*[F.lit(x) for pair in SCRIPT_OF.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, F.lower(c)), F.lit("latin"))
+    """Script family of a language code; the code itself where it has none."""
+    table = F.create_map(*[F.lit(x) for family, codes in SCRIPT_LANGUAGES.items() for code in codes.split() for x in (code, family)])
+    return F.coalesce(F.try_element_at(table, c), c)
 
 
 def font_flags(c: Column) -> Column:
-    """Names of the bits of a font's flags."""
-    return F.concat_ws(", ", *[F.when(c.bitwiseAND(bit) != 0, F.lit(name)) for bit, name in FONT_FLAGS])
+    """Names of the bits of a font's flags, and of some bits that are not set."""
+    return F.concat_ws(", ", *[F.when(c.bitwiseAND(bit) != 0, F.lit(name)).otherwise(F.lit(other)) for bit, name, other in FONT_FLAGS])
 
 
 def has_math(c: Column) -> Column:

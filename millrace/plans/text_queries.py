@@ -36,9 +36,13 @@ def _strip(x: str) -> str:
     return _rep(x, r"^\s+|\s+$", "")
 
 
+def _q(x: str) -> str:
+    return "chr(10)" if x == "\n" else f"'{x}'"
+
+
 def _chain(x: str, pairs) -> str:
     for a, b in pairs:
-        x = f"replace({x}, '{a}', '{b}')"
+        x = f"replace({x}, {_q(a)}, '{b}')"
     return x
 
 
@@ -47,6 +51,8 @@ _add("t1_collapse_blank", "documents", "doc_id", "text", T.collapse_blank,
 _add("t2_undouble_spaces", "layout_dets", "det_id", "content", T.undouble_spaces,
      _strip("regexp_replace(replace(replace(regexp_replace(content, ' {2,}', chr(1), 'g'), ' ', ''), chr(1), ' '), ' ?\\n{2,} ?', chr(10) || chr(10), 'g')"))
 _add("t3_escape_latex", "grobid_elements", "element_id", "text", T.escape_latex, _chain("text", T.LATEX_ESCAPES))
+_add("t4_escape_latex_signs", "grobid_elements", "element_id", "text", T.escape_latex_signs,
+     "array_to_string([coalesce(MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in T.LATEX_SIGNS.items()) + "}[x], x) for x in string_split(text, '')], '')")
 _add("t6_close_environments", "grobid_elements", "element_id", "text", T.close_environments,
      "text || " + " || ".join(
          f"repeat('\\end{{{n}}}', greatest(((len(text) - len(replace(text, '\\begin{{{n}}}', ''))) // {len(n) + 8} - (len(text) - len(replace(text, '\\end{{{n}}}', ''))) // {len(n) + 6})::INT, 0))"
@@ -60,7 +66,7 @@ _add("t9_ligatures", "layout_dets", "det_id", "content", lambda c: T.replace_all
 _add("t10_dehyphenate", "layout_dets", "det_id", "content", T.dehyphenate, "regexp_replace(content, '-[ ]*\\n(\\S+) ?', '\\1' || chr(10), 'g')")
 _add("t11_paragraphs", "documents", "doc_id", "text", lambda c: F.size(T.paragraphs(c)).cast("long"),
      "len(string_split(regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g'), chr(10) || chr(10)))", "text IS NOT NULL")
-_add("t15_plain_lower", "grobid_elements", "element_id", "text", T.plain_lower, "lower(" + _chain("text", [(x, "") for x in T.PUNCTUATION_REMOVED]) + ")")
+_add("t15_plain_lower", "grobid_elements", "element_id", "text", T.plain_lower, "lower(" + _chain("text", T.MARKS_REMOVED) + ")")
 _add("t17_first_words", "tei_meta", "doc_id", "title", T.first_words, "array_to_string(string_split(title, ' ')[1:8], ' ')")
 _add("t17_last_words", "tei_meta", "doc_id", "title", T.last_words, "array_to_string(string_split(title, ' ')[-8:], ' ')")
 _add("t18_longer_than", "layout_dets", "det_id", "ptrmfr_texts", lambda c: F.array_join(T.longer_than(c, 30), "|"),
@@ -80,9 +86,9 @@ SQL["t25_csl_date"] = """SELECT biblio_id, CASE WHEN regexp_matches(date, '^\\d{
 _add("t26_heading_name", "layout_dets", "det_id", "content", T.is_heading_name,
      "len(content) > 0 AND NOT regexp_matches(lower(content), '^acknowledge?ments?') AND len(regexp_replace(content, '[^\\pL]', '', 'g')) > 0.01 * len(content)", "content IS NOT NULL")
 _add("t27_script_family", "tei_meta", "doc_id", "language", T.script_family,
-     "CASE lower(language) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in T.SCRIPT_OF.items()) + " ELSE 'latin' END")
+     "CASE " + " ".join(f"WHEN language IN ({', '.join(repr(x) for x in v.split())}) THEN '{k}'" for k, v in T.SCRIPT_LANGUAGES.items()) + " ELSE language END")
 _add("t31_font_flags", "lineitem", "l_orderkey", "l_linenumber", T.font_flags,
-     "concat_ws(', ', " + ", ".join(f"CASE WHEN l_linenumber & {b} <> 0 THEN '{n}' END" for b, n in T.FONT_FLAGS) + ")")
+     "concat_ws(', ', " + ", ".join(f"CASE WHEN l_linenumber & {b} <> 0 THEN '{n}' ELSE {repr(o) if o else 'NULL'} END" for b, n, o in T.FONT_FLAGS) + ")")
 _add("t32_has_math", "layout_dets", "det_id", "content", T.has_math, "regexp_matches(content, '[\\x{370}-\\x{3ff}\\x{2200}-\\x{22ff}\\x{2a00}-\\x{2aff}±×÷≠≤≥∞]')")
 _add("t33_points_to_pixels", "lineitem", "l_orderkey", "l_quantity", lambda c: T.points_to_pixels(c, 96), "round_even(l_quantity * 96 / 72, 0)::INT")
 _add("t34_heading_level", "layout_dets", "det_id", "content", lambda c: T.heading_level(F.regexp_extract(c, r"^\s*([\d.]+)", 1)),
