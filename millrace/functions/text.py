@@ -85,7 +85,7 @@ def last_punctuation(c: Column) -> Column:
     """Place (from 1) of the last sentence mark or line end, 0 without."""
     reverse = F.reverse(c)
     at = F.regexp_instr(reverse, F.lit(r"[.?!\n]"))
-    return F.when(at > 0, F.length(c) - at + 1).otherwise(0)
+    return F.when(at > 0, F.length(c) - at + 1).when(c.isNotNull(), 0)
 
 
 def next_punctuation(c: Column) -> Column:

@@ -6,6 +6,7 @@ Each works on one text at a time, in Arrow batches. Null gives null, the empty t
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -113,6 +114,13 @@ def alike(a: str, b: str) -> float:
     return 2 * row[-1] / (len(a) + len(b))
 
 
+def _may_be_alike(a: str, b: str, least: float) -> bool:
+    """False if the letters the two have in common already rule ``alike`` above ``least`` out."""
+    if 2 * min(len(a), len(b)) <= least * (len(a) + len(b)):
+        return False
+    return 2 * (Counter(a) & Counter(b)).total() > least * (len(a) + len(b))
+
+
 def repeated_slices(lines: list[str], least: int = 15, gap: int = 3) -> list[tuple[int, int]]:
     """Stretches (first, end) of more than ``least`` lines in which neighbours are alike."""
     clean = [re.sub(r"[0-9_]|\*\*", "", x).strip() for x in lines]
@@ -122,7 +130,7 @@ def repeated_slices(lines: list[str], least: int = 15, gap: int = 3) -> list[tup
         while j < len(lines) - 1 and not clean[j]:
             j += 1
         a, b = clean[i], clean[j]
-        if 3 < len(a) < 200 and 3 < len(b) < 200 and not lines[i].startswith("[MISSING_PAGE") and (a == b or alike(a, b) > 0.9):
+        if 3 < len(a) < 200 and 3 < len(b) < 200 and not lines[i].startswith("[MISSING_PAGE") and (a == b or _may_be_alike(a, b, 0.9) and alike(a, b) > 0.9):
             marked |= set(range(i, j))
     out: list[tuple[int, int]] = []
     start = last = None
