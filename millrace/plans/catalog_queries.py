@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import catalog as C
 from millrace.sources.tables import table
+from millrace.streaming.counters import q13_daily_stream
 
 
 def _latest(spark: SparkSession, root: str) -> DataFrame:
@@ -124,7 +125,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         d8_latest_version, s1_catalog_scan, s3_counts, s5_dynamic_filter, s7_latest_row, s9_merge_update, s11_path_rule, s12_result_key, s13_key_prefix, s14_extension,
-        s22_base64, q1_batches, q5_read_ahead, q8_sizing, q12_progress, q13_daily, q21_unprocessed, q24_json_round_trip,
+        s22_base64, q1_batches, q5_read_ahead, q8_sizing, q12_progress, q13_daily, q13_daily_stream, q21_unprocessed, q24_json_round_trip,
     )
 }
 _JSON = "try(json_extract_string(attribute2, '$.{0}'))"
@@ -154,3 +155,4 @@ SQL = {
     "q21_unprocessed": f"SELECT version, id FROM {_LATEST} c WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.data_id = c.id)",
     "q24_json_round_trip": f"SELECT version, batch_no, n_items FROM ({_BATCHES})",
 }
+SQL["q13_daily_stream"] = SQL["q13_daily"]
