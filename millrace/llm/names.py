@@ -150,8 +150,10 @@ def spelled_right(parsed: DataFrame) -> DataFrame:
     rarer = (F.col("n") < F.col("n_other")) | ((F.col("n") == F.col("n_other")) & (F.col("sure") | (F.col("name") > F.col("other"))))
     same_given = F.arrays_overlap("givens", "givens_other")
     slip = (F.col("distance") == 1) & ((F.size("givens") == 0) | (F.size("givens_other") == 0))
-    supported = (F.col("n") * SUPPORT_RATIO <= F.col("n_other")) | F.col("sure")
-    near = near.filter(rarer & (supported | ((F.col("n") <= RARE_FORM) & (same_given | slip))))
+    agree = same_given | (F.size("givens") == 0) | (F.size("givens_other") == 0)
+    frequent = (F.col("n") * SUPPORT_RATIO <= F.col("n_other")) & (agree | (F.col("distance") == 1))
+    alike = (F.col("n") <= RARE_FORM) & (same_given | slip | (F.col("sure") & agree))
+    near = near.filter(rarer & (frequent | alike))
     order = F.struct(-F.col("distance"), F.col("sure"), F.col("n_other"), F.col("other"))
     return near.groupBy("place", "initial", F.col("name").alias("typed")).agg(F.max_by("other", order).alias("surname"))
 
