@@ -25,7 +25,7 @@ from millrace.functions.runtime import materialize
 from millrace.llm.tokens import RANK_FILE, token_counts
 from millrace.sources.tables import table
 
-BLOCK_TOKENS = 8192
+BLOCK_TOKENS = 4096
 SHARD_TOKENS = 20_000_000
 SEED = 42
 
@@ -84,7 +84,8 @@ def mix_documents(
         .withColumn("block", F.least("block", F.col("n_blocks") - 1))
         .drop("before")
     )
-    used = placed.groupBy("source", "shard").agg(F.count_distinct("block").alias("filled"), F.first("n_blocks").alias("n_blocks"))
+    # a document longer than a block leaves block numbers empty; only filled ones count
+    used = placed.groupBy("source", "shard").agg(F.count_distinct("block").alias("n_blocks"))
     blocks = {r.source: int(r.n) for r in used.groupBy("source").agg(F.sum("n_blocks").alias("n")).collect()}
     caps = {s: blocks[s] * goals[s][1] for s in blocks}
     weights = {s: goals[s][0] / (have[s] / blocks[s]) for s in blocks}  # blocks of a source may be a little off in size
@@ -100,8 +101,8 @@ def mix_documents(
     split = used.select("source", "shard", "n_blocks").join(F.broadcast(quotas), "source")
     upto = F.sum("n_blocks").over(along)
     part = lambda x: F.floor(x.cast("decimal(30,0)") * F.col("quota") / F.col("source_blocks"))
-    split = split.select("source", "shard", (part(upto) - part(upto - F.col("n_blocks"))).cast("long").alias("shard_quota"))
-    ranked = placed.select("source", "shard", "block", "n_blocks").distinct()
+    split = split.select("source", "shard", "n_blocks", (part(upto) - part(upto - F.col("n_blocks"))).cast("long").alias("shard_quota"))
+    ranked = placed.select("source", "shard", "block").distinct()
     ranked = ranked.withColumn("rank", F.row_number().over(W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 2), "shard", "block"), "block")))
     limit = F.create_map(*[x for s in blocks for x in (F.lit(s), F.lit(goals[s][1]))])
     chosen = ranked.join(split, ["source", "shard"]).select(
