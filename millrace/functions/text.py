@@ -198,3 +198,42 @@ def to_subscript(c: Column) -> Column:
 
 def to_superscript(c: Column) -> Column:
     return F.translate(c, "0123456789", SUPERSCRIPTS)
+
+
+# Words that tell languages apart.
+LANGUAGE_WORDS = {
+    "de": "der die das und ist nicht mit ein eine von den im",
+    "en": "the and of is are was with that this from which for",
+    "es": "el los las y es una por con que del para como",
+    "fr": "le les des et est une dans pour avec que sur par",
+    "it": "il gli di e che una per con della nel sono dal",
+    "nl": "het een en van niet met voor dat zijn ook naar bij",
+    "pt": "o os uma e com para que do da em não mais",
+}
+
+
+def language_by_words(c: Column) -> Column:
+    """The language most of whose telling words a text holds, ties to the first by code; other without any."""
+    words = F.split(F.lower(c), r"[^\p{L}]+")
+
+    def hits(known: str) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(*known.split())))
+
+    counts = [F.struct(hits(known).alias("n"), F.lit(code).alias("code")) for code, known in LANGUAGE_WORDS.items()]
+    ordered = F.array_sort(F.array(*counts), lambda a, b: F.when(a["n"] != b["n"], b["n"] - a["n"]).when(a["code"] < b["code"], -1).otherwise(1))
+    return F.when(c.isNotNull(), F.when(ordered[0]["n"] > 0, ordered[0]["code"]).otherwise("other"))
+
+
+def document_language(label: Column, title: Column) -> Column:
+    """The label; without one or for other, the language of the title's words, else en; chinese as ch; then the script family."""
+    guess = F.nullif(language_by_words(title), F.lit("other"))
+    named = F.when(label.isNull() | (label == "other"), F.coalesce(guess, F.lit("en"))).otherwise(label)
+    return script_family(F.when(named == "chinese", "ch").otherwise(named))
+
+
+def markdown_compatible(c: Column) -> Column:
+    """T5: equation tags inside their equations, addresses as links, escaped full stops plain, bold formulas as mathbf."""
+    c = F.regexp_replace(c, r"(?m)^\(([0-9.]+[a-zA-Z]?)\) \\\[(.+?)\\\]$", r"\\[$2 \\tag{$1}\\]")
+    c = F.regexp_replace(c, r"(?m)^\\\[(.+?)\\\] \(([0-9.]+[a-zA-Z]?)\)$", r"\\[$1 \\tag{$2}\\]")
+    c = F.replace(F.replace(c, F.lit("\\. "), F.lit(". ")), F.lit("\\bm{"), F.lit("\\mathbf{"))
+    return F.regexp_replace(c, r"(https?://[\w_-]+(?:\.[\w_-]+)+[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])", "[$1]($1)")
