@@ -208,11 +208,15 @@ def link_people(parsed: DataFrame) -> DataFrame:
     persons = placed.filter("surname is not null and initial is not null").groupBy("surname", "initial", "person").agg(
         F.collect_set("given").alias("givens"), F.collect_set("middle_initial").alias("middles")
     )
-    fits = (F.col("given").isNull() | (F.size("givens") == 0) | F.array_contains("givens", F.col("given"))) & (
-        F.col("middle_initial").isNull() | (F.size("middles") == 0) | F.array_contains("middles", F.col("middle_initial"))
-    )
-    found = stray.select("mention_id", "surname", "initial", "given", "middle_initial").join(persons, ["surname", "initial"]).filter(fits)
-    sole = found.groupBy("mention_id").agg(F.count("*").alias("n"), F.min("person").alias("only")).filter("n = 1").select("mention_id", "only")
+    # a person answers to each of its names, or to "*" without one, and to "any"; so every stray looks up at most
+    # four keys, each with the number of its persons, and no stray meets all persons of a frequent surname
+    answers = lambda c: F.concat(F.when(F.size(c) == 0, F.array(F.lit("*"))).otherwise(F.col(c)), F.array(F.lit("any")))
+    asks = lambda c: F.when(F.col(c).isNull(), F.array(F.lit("any"))).otherwise(F.array(F.col(c), F.lit("*")))
+    keyed = persons.withColumn("g", F.explode(answers("givens"))).withColumn("m", F.explode(answers("middles")))
+    book = keyed.groupBy("surname", "initial", "g", "m").agg(F.count("*").alias("n"), F.min("person").alias("only"))
+    looked = stray.select("mention_id", "surname", "initial", F.explode(asks("given")).alias("g"), "middle_initial").withColumn("m", F.explode(asks("middle_initial")))
+    found = looked.join(book, ["surname", "initial", "g", "m"]).groupBy("mention_id").agg(F.sum("n").alias("n"), F.min("only").alias("only"))
+    sole = found.filter("n = 1").select("mention_id", "only")
     return people.join(sole, "mention_id", "left").select("mention_id", F.coalesce("only", "person").alias("person"))
 
 
