@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,20 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives this package to all executors, once per context, so that they need no copy of it in their path."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    packed = Path(tempfile.mkdtemp(prefix="millrace-")) / "millrace.zip"
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path(root.name) / f.relative_to(root))
+    context.addPyFile(str(packed))  # served by the driver
+    context._millrace_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.functions.runtime import ship
+
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The table ``name`` under ``root``; column pruning and filters reach the scan."""
+    ship(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 

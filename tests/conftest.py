@@ -8,9 +8,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 @pytest.fixture(scope="session")
 def spark():
+    from millrace.functions.runtime import ship
     from millrace.session import local_session
 
     session = local_session(4, partitions=4, memory="4g")
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     yield session
     session.stop()
