@@ -160,22 +160,40 @@ def org_tokens(text: str) -> list[str]:
 
 
 def distance(a: str, b: str, limit: int) -> int:
-    """Levenshtein distance with swaps of neighbours as one step, cut off above ``limit``."""
+    """Levenshtein distance with swaps of neighbours as one step, cut off above ``limit``; only a band of the table is filled."""
+    if a == b:
+        return 0
     if abs(len(a) - len(b)) > limit:
         return limit + 1
+    start, end = 0, 0
+    short = min(len(a), len(b))
+    while start < short and a[start] == b[start]:
+        start += 1
+    while end < short - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[start : len(a) - end], b[start : len(b) - end]
+    if not a or not b:
+        return len(a) + len(b)
+    far = limit + 1
+    width = len(b)
     before2: list[int] = []
-    before = list(range(len(b) + 1))
+    before = [j if j <= limit else far for j in range(width + 1)]
     for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
+        row = [far] * (width + 1)
+        row[0] = i if i <= limit else far
+        low = row[0]
+        for j in range(max(1, i - limit), min(width, i + limit) + 1):
+            y = b[j - 1]
             d = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 d = min(d, before2[j - 2] + 1)
-            row.append(d)
-        if min(row) > limit:
-            return limit + 1
+            row[j] = d
+            if d < low:
+                low = d
+        if low > limit:
+            return far
         before2, before = before, row
-    return before[-1]
+    return min(before[-1], far)
 
 
 class Register:

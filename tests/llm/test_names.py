@@ -35,6 +35,23 @@ def test_distance():
     assert distance("abcd", "abdc", 2) == 1 and distance("abcd", "abXd", 2) == 1 and distance("abcd", "wxyz", 2) == 3
 
 
+def test_distance_within_its_band():
+    def full(a, b):
+        d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    r = random.Random(4)
+    for _ in range(3000):
+        a, b = ("".join(r.choice("abc") for _ in range(r.randint(0, 9))) for _ in range(2))
+        for limit in (1, 2, 3):
+            assert distance(a, b, limit) == min(full(a, b), limit + 1), (a, b)
+
+
 def test_radius_join_is_exact(spark):
     r = random.Random(5)
     base = ["".join(r.choice("abcde") for _ in range(7)) for _ in range(90)]
