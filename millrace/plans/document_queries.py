@@ -10,7 +10,9 @@ from millrace.functions import text as T
 from millrace.operators import align as A
 from millrace.operators import assemble as G
 from millrace.operators import lines as L
+from millrace.operators.classify import page_bounds
 from millrace.operators.latexml import pages_to_markdown
+from millrace.operators.pages import clean_pages
 from millrace.operators.tei import xml_escape
 from millrace.operators.tei_body import read_documents
 from millrace.sources.tables import table
@@ -115,10 +117,45 @@ def a13_training_index(spark: SparkSession, root: str) -> DataFrame:
     return per.filter("n_chars > 0").select(F.concat("data_id", F.lit("/"), F.lpad(F.col("page").cast("string"), 2, "0"), F.lit(".png")).alias("image"), "n_chars")
 
 
+def m5_tables(spark: SparkSession, root: str) -> DataFrame:
+    """M5: the caption of each table element with the size of its grid."""
+    rows = table(spark, root, "grobid_elements").filter("element_type = 'table'").select("element_id", "text").distinct()
+    grid = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"^\|.*\|$") & ~x.rlike(r"^\|[-|]+\|$"))
+    return rows.select("element_id", F.regexp_extract("text", r"Table\s+(\d+)", 1).alias("label"), F.size(grid).cast("long").alias("n_rows"))
+
+
+def m14_clean_pages(spark: SparkSession, root: str) -> DataFrame:
+    """M14/M16, D5, D6 over all texts (partly sequential, so without SQL)."""
+    return clean_pages(table(spark, root, "documents"), "doc_id", "text").select(F.col("id").cast("long").alias("doc_id"), F.length("text").alias("n_chars"))
+
+
+def h2_page_rows(spark: SparkSession, root: str) -> DataFrame:
+    """H2: crawled pages as rows of host, language by words and size."""
+    docs = table(spark, root, "documents").filter("site is not null")
+    return docs.select("doc_id", "site", T.language_by_words(F.col("text")).alias("language"), F.length("text").alias("n_chars"))
+
+
+def a7_bounds(spark: SparkSession, root: str) -> DataFrame:
+    """Page bounds of every item from the page numbers of its lines with neighbours exchanged (dynamic programming, so without SQL)."""
+    rows = table(spark, root, "layout_dets").select("det_id", "data_id", "page", "box_id").distinct()
+    noisy = rows.withColumn("guess", F.when(F.col("det_id") % 7 == 0, F.greatest(F.col("page") - 1, F.lit(1))).otherwise(F.col("page")))
+    ordered = noisy.withColumn("at", F.col("page") * 1000 + F.col("box_id"))
+    return page_bounds(ordered, "data_id", "at", "guess").select(F.col("id").alias("data_id"), F.size("bounds").alias("n_pages"), F.element_at("bounds", -1).alias("last_bound"))
+
+
+def a11_best_caption(spark: SparkSession, root: str) -> DataFrame:
+    """For each figure text of a record the element of the same record that shares most words, ties to the smaller id."""
+    rows = table(spark, root, "grobid_elements").filter("text is not null").select("element_id", "rec_id", "element_type", F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 3)).alias("words")).distinct()
+    a = rows.filter("element_type = 'figure'").select("rec_id", F.col("element_id").alias("figure"), F.col("words").alias("x"))
+    b = rows.select("rec_id", F.col("element_id").alias("other"), F.col("words").alias("y"))
+    pairs = a.join(b, "rec_id").filter("figure != other").withColumn("n", F.size(F.array_intersect("x", "y")))
+    return pairs.groupBy("figure").agg(F.max_by("other", F.struct(F.col("n"), -F.col("other"))).alias("other"), F.max("n").cast("long").alias("n_shared"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        t5_markdown, t28_document_language, t29_language, d9_label_suffix, d12_first_values, l10_place_date_lines, m7_kept_lines, x7_tei_documents, h5_markdown, g12_region_text, x15_flagged_boxes,
+        m5_tables, m14_clean_pages, h2_page_rows, a7_bounds, a11_best_caption, t5_markdown, t28_document_language, t29_language, d9_label_suffix, d12_first_values, l10_place_date_lines, m7_kept_lines, x7_tei_documents, h5_markdown, g12_region_text, x15_flagged_boxes,
         a8_aligned_pages, a13_training_index,
     )
 }
@@ -137,6 +174,12 @@ _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docum
 _T5 = r"""regexp_replace(regexp_replace(text, '(?m)^\(([0-9.]+[a-zA-Z]?)\) \\\[(.+?)\\\]$', '\\[\2 \\tag{\1}\\]', 'g'), '(?m)^\\\[(.+?)\\\] \(([0-9.]+[a-zA-Z]?)\)$', '\\[\1 \\tag{\2}\\]', 'g')"""
 SQL = {
     "t5_markdown": rf"SELECT doc_id, md5(regexp_replace(replace(replace({_T5}, '\. ', '. '), '\bm{{', '\mathbf{{'), '(https?://[\w_-]+(?:\.[\w_-]+)+[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])', '[\1](\1)', 'g')) AS digest FROM documents",
+    "m5_tables": """SELECT element_id, regexp_extract(text, 'Table\\s+(\\d+)', 1) AS label, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\\|.*\\|$') AND NOT regexp_matches(x, '^\\|[-|]+\\|$'))) AS n_rows
+      FROM (SELECT DISTINCT element_id, text FROM grobid_elements WHERE element_type = 'table')""",
+    "h2_page_rows": f"SELECT doc_id, site, {_language_sql('text')} AS language, len(text)::INT AS n_chars FROM documents WHERE site IS NOT NULL",
+    "a11_best_caption": """WITH w AS (SELECT DISTINCT element_id, rec_id, element_type, list_distinct(list_filter(string_split_regex(lower(text), '[^\\pL]+'), lambda w: len(w) > 3)) AS words FROM (SELECT DISTINCT element_id, rec_id, element_type, text FROM grobid_elements WHERE text IS NOT NULL)),
+      p AS (SELECT a.element_id AS figure, b.element_id AS other, len(list_intersect(a.words, b.words)) AS n FROM w a JOIN w b ON a.rec_id = b.rec_id AND a.element_id <> b.element_id WHERE a.element_type = 'figure')
+      SELECT figure, arg_max(other, (n, -other)) AS other, max(n) AS n_shared FROM p GROUP BY 1""",
     "t28_document_language": f"""SELECT doc_id, {_SCRIPT} AS script FROM (SELECT doc_id, CASE WHEN language IS NULL OR language = 'other' THEN coalesce(nullif({_language_sql('title')}, 'other'), 'en') WHEN language = 'chinese' THEN 'ch' ELSE language END AS x
       FROM (SELECT DISTINCT * FROM tei_meta))""",
     "t29_language": f"SELECT doc_id, {_language_sql('text')} AS language FROM documents",
