@@ -21,7 +21,11 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_millrace_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
-    packed = Path(tempfile.mkdtemp(prefix="millrace-")) / "millrace.zip"
+    folder = shared_folder(spark)
+    local = folder.removeprefix("file://") if folder.startswith(("file:///", "/")) else tempfile.gettempdir()  # the driver's own; it serves the file
+    Path(local).mkdir(parents=True, exist_ok=True)
+    packed = Path(local) / f"millrace-{uuid.uuid4().hex}" / "millrace.zip"
+    packed.parent.mkdir()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, Path(root.name) / f.relative_to(root))

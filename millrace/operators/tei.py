@@ -64,7 +64,8 @@ def relative_coords(c: Column, width: float, height: float) -> Column:
 
 def edit_share(a: Column, b: Column) -> Column:
     """Edit distance over the longer length; null where either is shorter than four characters."""
-    return F.when((F.length(a) >= 4) & (F.length(b) >= 4), F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))
+    long_enough = (F.length(a) >= 4) & (F.length(b) >= 4)
+    return F.when(long_enough & (a == b), 0.0).when(long_enough, F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))
 
 
 def token_scores(a: Column, b: Column) -> list[Column]:
