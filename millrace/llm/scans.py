@@ -300,7 +300,8 @@ def repair_lines(lines: list[str], fixes: dict[str, str], cuts: set[tuple[str, s
             text = text.rstrip() + line
         else:
             text = f"{text} {line}" if text else line
-    text = _SPACED.sub(lambda m: m.group().replace(" ", ""), text)
+    if _SPACED.search(text):
+        text = _SPACED.sub(lambda m: m.group().replace(" ", ""), text)
 
     def fix(m: re.Match) -> str:
         word = m.group()
@@ -311,7 +312,8 @@ def repair_lines(lines: list[str], fixes: dict[str, str], cuts: set[tuple[str, s
         cased = right.upper() if kept.isupper() and len(kept) > 1 else right[:1].upper() + right[1:] if kept[:1].isupper() else right
         return word.replace(kept, cased)
 
-    text = _TOKEN.sub(fix, text)
+    if fixes:
+        text = _TOKEN.sub(fix, text)
     return _MISREAD_NUMBER.sub(lambda m: m.group().translate(str.maketrans("OolI|", "00111")), text)
 
 
@@ -322,30 +324,30 @@ def reflow(detections: DataFrame) -> DataFrame:
     before it, across boxes and pages, if both are plain text and the former has no sentence end.
     Figures, tables, formulas and discarded regions take no part.
     """
-    source = materialize(_lines(detections).filter(F.col("category_id").isin(0, 1)).dropDuplicates(["det_id"]))
     facts = materialize(scan_facts(detections))
     vocab = materialize(vocabulary(facts))
-    wrong, cut = materialize(misreadings(vocab)), materialize(breaks(facts, vocab)).filter("broken")
-    fixes = (
-        facts.select("det_id", F.explode(F.concat("words", F.transform("pairs", lambda p: F.concat(p.a, p.b)))).alias("word"))
-        .join(broadcast_if_small(wrong), "word")
+    wrong, cut = materialize(misreadings(vocab)), materialize(breaks(facts, vocab)).filter("broken").select("a", "mark", "b")
+    # what is to be done to a detection, gathered first; it is far smaller than the lines, which are shuffled once
+    none = {"fix": "struct<word:string,right:string>", "cut": "struct<a:string,mark:string,b:string>", "head": "boolean", "tail": "boolean"}
+
+    def notes(df: DataFrame, **given) -> DataFrame:
+        return df.select("det_id", *[given.get(k, F.lit(None)).cast(t).alias(k) for k, t in none.items()])
+
+    words = facts.select("det_id", F.explode(F.concat("words", F.transform("pairs", lambda p: F.concat(p.a, p.b)))).alias("word")).join(broadcast_if_small(wrong), "word")
+    broken = facts.select("det_id", F.explode("pairs").alias("p")).select("det_id", "p.*").join(broadcast_if_small(cut), ["a", "mark", "b"])
+    numbers = page_numbers(facts).withColumn("place", F.regexp_replace("place", "-edge", ""))
+    todo = (
+        notes(words, fix=F.struct("word", "right"))
+        .union(notes(broken, cut=F.struct("a", "mark", "b")))
+        .union(notes(headers(facts), head=F.lit(True)))
+        .union(notes(numbers, head=F.col("place").isin("first", "only"), tail=F.col("place") == "last"))
         .groupBy("det_id")
-        .agg(F.collect_set(F.struct("word", "right")).alias("fixes"))
+        .agg(F.collect_set("fix").alias("fixes"), F.collect_set("cut").alias("cuts"), F.max("head").alias("head"), F.max("tail").alias("tail"))
     )
-    cuts = (
-        facts.select("det_id", F.explode("pairs").alias("p"))
-        .select("det_id", "p.*")
-        .join(broadcast_if_small(cut), ["a", "mark", "b"])
-        .groupBy("det_id")
-        .agg(F.collect_set(F.struct("a", "mark", "b")).alias("cuts"))
-    )
-    head = headers(facts).groupBy("det_id").agg(F.lit(True).alias("head"))
-    place = F.regexp_replace("place", "-edge", "")
-    number = page_numbers(facts).groupBy("det_id").agg(F.max(place.isin("first", "only")).alias("first"), F.max(place == "last").alias("last"))
-    rows = source.join(fixes, "det_id", "left").join(cuts, "det_id", "left").join(head, "det_id", "left").join(number, "det_id", "left")
-    rows = rows.select(
+    source = _lines(detections).filter(F.col("category_id").isin(0, 1)).dropDuplicates(["det_id"])
+    rows = source.join(todo, "det_id", "left").select(
         "det_id", "data_id", "page", F.coalesce(F.try_element_at("poly", F.lit(2)), F.lit(0.0)).alias("y"), "box_id", "category_id", "lines", "fixes", "cuts",
-        (F.coalesce("head", F.lit(False)) | F.coalesce("first", F.lit(False))).alias("drop_first"), F.coalesce("last", F.lit(False)).alias("drop_last"),
+        F.coalesce("head", F.lit(False)).alias("drop_first"), F.coalesce("tail", F.lit(False)).alias("drop_last"),
     )
     texts = rows.mapInArrow(_repair, "det_id long, data_id string, page int, y double, box_id int, category_id int, text string").filter("text != ''")
     order = W.partitionBy("data_id").orderBy("page", "y", "box_id", "det_id")
