@@ -52,6 +52,7 @@ _TRIM = "!'’‘*_~^&#%-–—‐­¬|†@"
 _GLYPH_INSIDE = re.compile(r"[^\W\d_][@†|!01569][^\W\d_]|[^\W\d_]{2}[@†|]|[@†|!][^\W\d_]{2}")
 _PART_NUMBER = re.compile(r"^(?:[a-z]{1,2}\d+[a-z]?|[a-z]\d[a-z]|\d+[a-z])$")
 _MISREAD_NUMBER = re.compile(r"(?<![\w.,])(?=[\dlOoI|]*\d)(?=[\d.,]*[lOoI|])[\dlOoI|]+(?:[.,][\dlOoI|]+)?(?![\w|])|(?<![\w.,])\d+[.,](?=\d*[lOoI|])[\dlOoI|]+(?![\w|])")
+_DIGIT_NEXT = re.compile(r"\d[.,]?[lOoI|]|[lOoI|][.,]?\d")  # without it no number is misread
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_] ){3,}[^\W\d_](?!\w)")
 _BREAK = re.compile(rf"([^\W\d_]+(?:['’][^\W\d_]+)?)([{HYPHENS}])\s*$")
 _NEXT = re.compile(r"\s*([^\W\d_]+)")
@@ -124,7 +125,7 @@ def words_of(lines: list[str]) -> tuple[list[str], list[tuple[str, str, str]]]:
 def _facts(lines: list[str]) -> tuple:
     text = " ".join(lines)
     words, pairs = words_of(lines)
-    direct = bool(_SPACED.search(text)) or bool(_MISREAD_NUMBER.search(text))
+    direct = bool(_SPACED.search(text)) or bool(_DIGIT_NEXT.search(text) and _MISREAD_NUMBER.search(text))
     if not direct:
         direct = any(_GLYPH_INSIDE.search(w) and sum(c.isalpha() for c in w) >= 3 and not _PART_NUMBER.match(w) for w in words)
     first, last = lines[0].strip(), lines[-1].strip()
@@ -290,16 +291,20 @@ def _repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repair_lines(lines: list[str], fixes: dict[str, str], cuts: set[tuple[str, str, str]]) -> str:
     """One running text: broken words joined, misread words replaced with their case kept, spaced letters closed."""
-    text = ""
+    out: list[str] = []
     for line in lines:
-        m = _BREAK.search(text) if text else None
-        after = _NEXT.match(line)
-        if m and after and (m.group(1).lower(), m.group(2), after.group(1).lower()) in cuts:
-            text = text[: m.start(2)] + line
-        elif text and text[-1:] in HYPHENS and after and after.group(1)[:1].islower():
-            text = text.rstrip() + line
-        else:
-            text = f"{text} {line}" if text else line
+        end = out[-1] if out else ""
+        if end[-1:] and end[-1:] in HYPHENS and (after := _NEXT.match(line)):
+            m = _BREAK.search(end)
+            if m and (m.group(1).lower(), m.group(2), after.group(1).lower()) in cuts:
+                out[-1] = end[: m.start(2)]
+                out.append(line)
+                continue
+            if after.group(1)[:1].islower():
+                out.append(line)
+                continue
+        out += [" ", line] if out else [line]
+    text = "".join(out)
     if _SPACED.search(text):
         text = _SPACED.sub(lambda m: m.group().replace(" ", ""), text)
 
@@ -314,6 +319,8 @@ def repair_lines(lines: list[str], fixes: dict[str, str], cuts: set[tuple[str, s
 
     if fixes:
         text = _TOKEN.sub(fix, text)
+    if not _DIGIT_NEXT.search(text):
+        return text
     return _MISREAD_NUMBER.sub(lambda m: m.group().translate(str.maketrans("OolI|", "00111")), text)
 
 
