@@ -122,10 +122,15 @@ def words_of(lines: list[str]) -> tuple[list[str], list[tuple[str, str, str]]]:
     return list(words), pairs
 
 
+def _has_spaced(text: str) -> bool:
+    """Whether a word is set in spaced letters; at least two of them stand alone between spaces."""
+    return sum(len(w) == 1 for w in text.split(" ")) >= 2 and _SPACED.search(text) is not None
+
+
 def _facts(lines: list[str]) -> tuple:
     text = " ".join(lines)
     words, pairs = words_of(lines)
-    direct = bool(_SPACED.search(text)) or bool(_DIGIT_NEXT.search(text) and _MISREAD_NUMBER.search(text))
+    direct = _has_spaced(text) or bool(_DIGIT_NEXT.search(text) and _MISREAD_NUMBER.search(text))
     if not direct:
         direct = any(_GLYPH_INSIDE.search(w) and sum(c.isalpha() for c in w) >= 3 and not _PART_NUMBER.match(w) for w in words)
     first, last = lines[0].strip(), lines[-1].strip()
@@ -305,7 +310,7 @@ def repair_lines(lines: list[str], fixes: dict[str, str], cuts: set[tuple[str, s
                 continue
         out += [" ", line] if out else [line]
     text = "".join(out)
-    if _SPACED.search(text):
+    if _has_spaced(text):
         text = _SPACED.sub(lambda m: m.group().replace(" ", ""), text)
 
     def fix(m: re.Match) -> str:
