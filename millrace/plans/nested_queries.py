@@ -53,12 +53,62 @@ def p3_biblio_authors(spark: SparkSession, root: str) -> DataFrame:
     ).distinct()
 
 
+PERSON_FIELDS = ("full_name", "given_name", "middle_name", "surname", "email", "orcid")
+AFFILIATION_FIELDS = ("institution", "department", "laboratory")
+ADDRESS_FIELDS = ("addr_line", "post_code", "settlement", "country")
+
+
+def _biblio_people(spark: SparkSession, root: str) -> DataFrame:
+    """(biblio_id, person_no, a): every author of biblio that is not null; person_no is its place from 1."""
+    b = table(spark, root, "biblio").select("biblio_id", F.posexplode("authors").alias("pos", "a"))
+    return b.filter("a is not null").select("biblio_id", (F.col("pos") + 1).cast("long").alias("person_no"), "a")
+
+
+def p3_biblio_people(spark: SparkSession, root: str) -> DataFrame:
+    """biblio.authors: people with all their fields."""
+    return _biblio_people(spark, root).select("biblio_id", "person_no", *[F.col(f"a.{c}").alias(c) for c in PERSON_FIELDS]).distinct()
+
+
+def _biblio_affiliations(spark: SparkSession, root: str) -> DataFrame:
+    """(biblio_id, person_no, affil_no, f): a person of biblio has one affiliation or null, so affil_no is 1."""
+    people = _biblio_people(spark, root).filter("a.affiliation is not null")
+    return people.select("biblio_id", "person_no", F.lit(1).cast("long").alias("affil_no"), F.col("a.affiliation").alias("f"))
+
+
+def p3_biblio_affiliations(spark: SparkSession, root: str) -> DataFrame:
+    """biblio.authors: affiliations, with the keys of their person."""
+    return _biblio_affiliations(spark, root).select("biblio_id", "person_no", "affil_no", *[F.col(f"f.{c}").alias(c) for c in AFFILIATION_FIELDS]).distinct()
+
+
+def p3_biblio_addresses(spark: SparkSession, root: str) -> DataFrame:
+    """biblio.authors: addresses with a value that is not blank, with the keys of their affiliation."""
+    rows = _biblio_affiliations(spark, root).select("biblio_id", "person_no", "affil_no", *[F.col(f"f.address.{c}").alias(c) for c in ADDRESS_FIELDS])
+    return rows.filter(F.concat_ws("", *ADDRESS_FIELDS).rlike(r"\S")).distinct()
+
+
 P3_BIBLIO_AUTHORS_SQL = """
 SELECT DISTINCT biblio_id, pos AS person_no, authors[pos].full_name AS full_name,
        authors[pos].affiliation.institution AS institution, authors[pos].affiliation.address.country AS country
 FROM (SELECT biblio_id, authors, unnest(range(1, len(authors) + 1)) AS pos FROM biblio)
 """
 
+_BIBLIO_PEOPLE_SQL = """
+SELECT biblio_id, pos AS person_no, authors[pos] AS a
+FROM (SELECT biblio_id, authors, unnest(range(1, len(authors) + 1)) AS pos FROM biblio) WHERE authors[pos] IS NOT NULL
+"""
+P3_BIBLIO_PEOPLE_SQL = f"""
+SELECT DISTINCT biblio_id, person_no, a.full_name, a.given_name, a.middle_name, a.surname, a.email, a.orcid FROM ({_BIBLIO_PEOPLE_SQL})
+"""
+P3_BIBLIO_AFFILIATIONS_SQL = f"""
+SELECT DISTINCT biblio_id, person_no, 1::BIGINT AS affil_no, a.affiliation.institution, a.affiliation.department, a.affiliation.laboratory
+FROM ({_BIBLIO_PEOPLE_SQL}) WHERE a.affiliation IS NOT NULL
+"""
+P3_BIBLIO_ADDRESSES_SQL = f"""
+SELECT DISTINCT biblio_id, person_no, 1::BIGINT AS affil_no, d.addr_line, d.post_code, d.settlement, d.country
+FROM (SELECT biblio_id, person_no, a.affiliation.address AS d FROM ({_BIBLIO_PEOPLE_SQL}))
+WHERE regexp_matches(concat(d.addr_line, d.post_code, d.settlement, d.country), '\\S')
+"""
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_documents": p3_documents,
@@ -67,5 +117,13 @@ QUERIES = {
     "p3_affiliations": p3_affiliations,
     "p3_addresses": p3_addresses,
     "p3_biblio_authors": p3_biblio_authors,
+    "p3_biblio_people": p3_biblio_people,
+    "p3_biblio_affiliations": p3_biblio_affiliations,
+    "p3_biblio_addresses": p3_biblio_addresses,
+}
+SQL = {
+    "p3_biblio_authors": P3_BIBLIO_AUTHORS_SQL,
+    "p3_biblio_people": P3_BIBLIO_PEOPLE_SQL,
+    "p3_biblio_affiliations": P3_BIBLIO_AFFILIATIONS_SQL,
+    "p3_biblio_addresses": P3_BIBLIO_ADDRESSES_SQL,
 }
-SQL = {"p3_biblio_authors": P3_BIBLIO_AUTHORS_SQL}

@@ -89,3 +89,18 @@ def test_child_rows_point_to_parents(spark):
     assert got["address"].fields == {"country": "C"} and got["affiliation"].fields == {"institution": "I"}
     assert (got["address"].person_no, got["address"].affil_no) == (got["affiliation"].person_no, got["affiliation"].affil_no)
     assert got["person"].fields == {"fullname": "A"} and got["biblio"].biblio_no == 0
+
+
+def test_biblio_authors_as_three_tables(spark, tmp_path):
+    from millrace.plans.nested_queries import QUERIES
+
+    address = "struct<addr_line: string, post_code: string, settlement: string, country: string>"
+    author = f"struct<full_name: string, given_name: string, middle_name: string, surname: string, email: string, orcid: string, affiliation: struct<institution: string, department: string, laboratory: string, address: {address}>>"
+    full = ("Ann B. Coe", "Ann", "B.", "Coe", "a@x", "0-1", ("I", "D", "L", ("1 Road", "99", "Town", "Land")))
+    blank = ("Eve", None, None, None, None, None, ("J", None, None, (" ", None, "", None)))
+    rows = [(1, [None, full, blank, ("Bob", *[None] * 6)]), (1, [None, full, blank, ("Bob", *[None] * 6)]), (2, None), (3, [])]
+    spark.createDataFrame(rows, f"biblio_id long, authors array<{author}>").write.parquet(str(tmp_path / "biblio.parquet"))
+    got = {k: sorted(map(tuple, QUERIES[f"p3_biblio_{k}"](spark, str(tmp_path)).collect())) for k in ("people", "affiliations", "addresses")}
+    assert got["people"] == [(1, 2, *full[:6]), (1, 3, *blank[:6]), (1, 4, "Bob", *[None] * 5)]
+    assert got["affiliations"] == [(1, 2, 1, "I", "D", "L"), (1, 3, 1, "J", None, None)]
+    assert got["addresses"] == [(1, 2, 1, "1 Road", "99", "Town", "Land")]
