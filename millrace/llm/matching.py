@@ -4,8 +4,11 @@ Every record becomes a bag of terms: title words, author words, venue prefixes,
 Term weights are BM25's inverse document frequencies over both tables. Candidates come from an inverted
 index whose postings are conjunctions of a record's rarest terms: two records that agree in most of
 their weight share at least one, and a conjunction of rare terms has a short posting list, which is
-what prunes the search. For each citation the exact best and second best score are taken over its
-candidates; it must be near the best of the outside record as well (several citations may be
+what prunes the search. What they miss is found by an exact search over the postings of single terms, from
+both sides: a record's best rating so far tells which of its heaviest terms a better pair must share one of
+(all terms, for a record without candidates), and pairs that cannot reach TIE of the best are dropped by bounds.
+So the best rating of every record and all its ties are exact over all pairs; a second below TIE is the best one seen.
+A citation must be near the best of the outside record as well (several citations may be
 of one work, so nearness is relative to the record's best score). Confidence is a logistic function of
 score, gap and agreement, fitted on a bounded sample (SAMPLE_PAIRS) of clear cases. An exact check of
 titles, part markers and page ranges follows.
@@ -33,13 +36,19 @@ from millrace.sources.tables import columns_or_null, table
 
 #: A citation's outside record must reach this share of the citation's own and of the record's best score.
 NEAR_BEST = 0.6
+#: Share of a citation's best rating from which another outside record ties with it.
+TIE = 0.85
 RARE_TITLE, RARE_AUTHORS = 5, 4
+#: Records of one index of single terms; queries that are put to one index in a task.
+SHARD, BLOCK = 60_000, 25_000
+#: Pairs of the highest scores that are rated first, so that their best prunes the others.
+FIRST = 16
 SAMPLE_PAIRS = 20_000
 #: Letters that two titles of one work may differ in.
 TITLE_SLIPS = 3
 LEAST_CONFIDENCE = 0.5
 #: The title feature of a pair one of whose titles breaks off: its part is unknown.
-CUT_TITLE = 0.5
+CUT_TITLE, CUT_LETTERS = 0.5, 12
 
 # Words that carry no content in titles and venues.
 STOP = frozenset("the a an of in on and for with is how under by to at from as et al jr part".split())
@@ -206,19 +215,22 @@ def _share(a: list[str], b: list[str], slack: int) -> float:
     return hit / len(few)
 
 
+def same_title(a: dict, b: dict) -> float:
+    """1 same, 0 unknown, CUT_TITLE if one breaks off, -1 other."""
+    if not a["letters"] or not b["letters"]:
+        return 0.0
+    if a["letters"] == b["letters"] or distance(a["letters"], b["letters"], TITLE_SLIPS) <= TITLE_SLIPS:
+        return 1.0 if a["marker"] == b["marker"] else -1.0
+    short, long = sorted((a, b), key=lambda r: len(r["letters"]))
+    n = len(short["letters"])
+    return CUT_TITLE if n >= CUT_LETTERS and not short["marker"] and distance(short["letters"], long["letters"][:n], 2) <= 2 else -1.0
+
+
 def compare(a: dict, b: dict) -> tuple[float, ...]:
     """Features of a pair. title: 1 same, 0 unknown, -1 other; pages, volume: 1 equal, 0 unknown, -1 unequal; years: difference, -1 unknown."""
     theirs = set(b["hashes"])
     score = sum(w for h, w in zip(a["hashes"], a["weights"]) if h in theirs)
-    title = 0.0
-    if a["letters"] and b["letters"]:
-        same = a["letters"] == b["letters"] or distance(a["letters"], b["letters"], TITLE_SLIPS) <= TITLE_SLIPS
-        title = 1.0 if same and a["marker"] == b["marker"] else -1.0
-        if not same:
-            short, long = sorted((a, b), key=lambda r: len(r["letters"]))
-            n = len(short["letters"])
-            if n >= 12 and not short["marker"] and distance(short["letters"], long["letters"][:n], 2) <= 2:
-                title = CUT_TITLE
+    title = same_title(a, b)
     agree = lambda k: 0.0 if not a[k] or not b[k] else 1.0 if a[k] == b[k] else -1.0
     years = abs(a["year"] - b["year"]) if a["year"] and b["year"] else -1
     return score, sum(a["weights"]), sum(b["weights"]), title, _share(a["authors"], b["authors"], 2), float(years), agree("pages"), agree("volume"), _share(a["venue"], b["venue"], 0)
@@ -232,26 +244,168 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(f[:, k]) for k in range(f.shape[1]))], names=["a", "b", *_FEATURES])
 
 
-def scored_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Candidates with their BM25 score and agreement."""
+_SOUGHT = ("hashes", "weights", "letters", "marker", "year", "pages", "volume")
+
+
+class Postings:
+    """Index of single terms over records, with what bounds a pair's rating from above."""
+
+    def __init__(self, records: list[dict]):
+        self.records = records
+        lens = [len(r["hashes"]) for r in records]
+        terms = np.fromiter((h for r in records for h in r["hashes"]), np.int64, sum(lens))
+        order = np.argsort(terms, kind="stable")
+        self.posts = np.repeat(np.arange(len(records)), lens)[order]
+        self.terms, begin = np.unique(terms[order], return_index=True)
+        self.begin = np.append(begin, len(terms))
+        self.place = {t: k for k, t in enumerate(self.terms.tolist())}
+        self.sums = np.zeros(len(records))
+        self.letters = np.array([self.tally(r["letters"]) for r in records], np.int16).reshape(-1, 32)
+        self.heads = np.array([self.tally((r["letters"] or "")[:CUT_LETTERS]) for r in records], np.int16).reshape(-1, 32)
+        self.length = np.array([len(r["letters"] or "") for r in records], np.int64)
+        self.year = np.array([r["year"] or 0 for r in records], np.int64)
+        self.codes = {k: np.array([hash(r[k]) if r[k] else 0 for r in records], np.int64) for k in ("marker", "pages", "volume")}
+
+    @staticmethod
+    def tally(letters: str | None) -> np.ndarray:
+        return np.bincount(np.frombuffer((letters or "").encode("utf-32-le", "surrogatepass"), np.uint32) & 31, minlength=32)
+
+    def turns(self, q: dict, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The most that ``turn`` can be for each pair, and where it is just that; an edit changes two letters of a tally at most."""
+        n, length = len(q["letters"] or ""), self.length[at]
+        title = np.where((length == 0) | (n == 0), 0.0, -1.0)
+        known = np.flatnonzero(title)
+        some, sizes = at[known], length[known]
+        cut = (np.minimum(sizes, n) >= CUT_LETTERS) & (np.abs(self.heads[some] - self.tally((q["letters"] or "")[:CUT_LETTERS])).sum(1) <= 6)
+        title[known[cut]] = CUT_TITLE
+        near = np.flatnonzero((np.abs(sizes - n) <= TITLE_SLIPS) & (self.codes["marker"][some] == (hash(q["marker"]) if q["marker"] else 0)))
+        near = near[np.abs(self.letters[some[near]] - self.tally(q["letters"])).sum(1) <= 2 * TITLE_SLIPS]
+        title[known[near]] = 1.0
+        agree = lambda k: np.where(self.codes[k][at] == 0, 0.0, np.where(self.codes[k][at] == hash(q[k]), 1.0, -1.0)) if q[k] else 0.0
+        far = (self.year[at] > 0) & (np.abs(self.year[at] - q["year"]) > 1) if q["year"] else False
+        return 1 + 0.5 * title + 0.2 * agree("pages") + 0.05 * agree("volume") - 0.1 * far, title <= 0
+
+    def rating(self, q: dict, k: int) -> float:
+        r = self.records[k]
+        theirs = set(r["hashes"])
+        score = sum(w for h, w in zip(q["hashes"], q["weights"]) if h in theirs)
+        agree = lambda c: 0.0 if not q[c] or not r[c] else 1.0 if q[c] == r[c] else -1.0
+        far = bool(q["year"] and r["year"] and abs(q["year"] - r["year"]) > 1)
+        return score * (1 + 0.5 * same_title(q, r) + 0.2 * agree("pages") + 0.05 * agree("volume") - 0.1 * far)
+
+    def search(self, q: dict, known: float) -> list[int]:
+        """All records whose rating with ``q`` is at least TIE of the best, and of ``known``."""
+        weights = q["weights"]
+        rest = np.append(np.cumsum(weights[::-1])[::-1], 0.0)
+        most = 1 + 0.5 * bool(q["letters"]) + 0.2 * bool(q["pages"]) + 0.05 * bool(q["volume"])
+        floor = TIE * known - 1e-9
+        # a pair at the floor shares one of the heaviest terms, as all others together fall short of it
+        n_terms = int(np.searchsorted(-rest, -floor / most, "right")) if known > 0 else len(weights)
+        n_terms = min(n_terms, len(weights))
+        whole = n_terms == len(weights)
+        lists = []
+        for h, w in zip(q["hashes"][:n_terms], weights[:n_terms]):
+            k = self.place.get(h)
+            if k is not None:
+                lists.append(self.posts[self.begin[k] : self.begin[k + 1]])
+                self.sums[lists[-1]] += w
+        if not lists:
+            return []
+        least = max(floor / most - rest[n_terms], 1e-12)
+        if sum(map(len, lists)) * 8 > len(self.sums):
+            at = np.flatnonzero(self.sums >= least)
+        else:
+            met = np.concatenate(lists)
+            at = np.unique(met[self.sums[met] >= least])
+        score = self.sums[at] + rest[n_terms]
+        for part in lists:
+            self.sums[part] = 0.0
+        best, found = known, []
+
+        def rate(at: np.ndarray, score: np.ndarray) -> None:
+            nonlocal best
+            turn, sure = self.turns(q, at)
+            high = score * turn
+            sure &= whole
+            best = max(best, high[sure].max(initial=0.0))
+            rest = np.flatnonzero(~sure & (high >= TIE * best - 1e-9))
+            for i in rest[np.argsort(-high[rest])].tolist():
+                if high[i] < TIE * best - 1e-9:
+                    break
+                high[i] = self.rating(q, int(at[i]))
+                best = max(best, high[i])
+            found.append((at, high))  # one that is not rated has a bound below the best
+
+        if len(at) > 4 * FIRST:
+            first = np.argpartition(-score, FIRST)[:FIRST]
+            rate(at[first], score[first])
+            left = score * most >= TIE * best - 1e-9
+            left[first] = False
+            at, score = at[left], score[left]
+        if len(at):
+            rate(at, score)
+        return [k for at, high in found for k in at[(high > 0) & (high >= TIE * best - 1e-9)].tolist()]
+
+
+def _search(key: tuple, queries: pa.Table, records: pa.Table) -> pa.Table:
+    index = Postings(records.column("r").to_pylist())
+    ids = records.column("id").to_pylist()
+    of, to = [], []
+    if ids:
+        for i, known, q in zip(*(queries.column(c).to_pylist() for c in ("id", "known", "r"))):
+            found = index.search(q, known)
+            of += [i] * len(found)
+            to += [ids[k] for k in found]
+    return pa.table({"q": pa.array(of, pa.int64()), "hit": pa.array(to, pa.int64())})
+
+
+def searched(queries: DataFrame, records: DataFrame, known: DataFrame) -> DataFrame:
+    """(q, hit): for each query all records that reach TIE of its best rating, if that is no less than the ``known`` (id, known).
+
+    Every block of queries meets every shard of records once.
+    """
+    shards, blocks = max(1, -(-records.count() // SHARD)), max(1, -(-queries.count() // BLOCK))
+    keyed = lambda df, mine, n, other, m: df.withColumn(mine, F.pmod(F.xxhash64("id"), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
+    sought = F.struct(*_SOUGHT).alias("r")
+    q = queries.join(known, "id", "left").select("id", F.coalesce("known", F.lit(0.0)).alias("known"), sought)
+    left = keyed(q, "block", blocks, "shard", shards).groupBy("block", "shard")
+    right = keyed(records.select("id", sought), "shard", shards, "block", blocks).groupBy("block", "shard")
+    return left.cogroup(right).applyInArrow(_search, "q long, hit long")
+
+
+def _compared(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     side = lambda df, name: df.select(F.col("id").alias(name), F.struct(*[c for c in df.columns if c not in ("id", "words", "terms")]).alias(f"r{name}"))
-    pairs = candidates(left, right).join(side(left, "a"), "a").join(side(right, "b"), "b").select("a", "b", "ra", "rb")
+    pairs = pairs.join(side(left, "a"), "a").join(side(right, "b"), "b").select("a", "b", "ra", "rb")
     return pairs.mapInArrow(_score, "a long, b long, " + ", ".join(f"{n} double" for n in _FEATURES))
 
 
-def nearest(pairs: DataFrame) -> DataFrame:
-    """Pairs that are the citation's best or tie with it, near the record's best, with the gap to the next; exact over all candidates."""
-    # agreement and disagreement in whole attributes move the score, so that parts of one work part
+def rated(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with a rating: agreement and disagreement in whole attributes move the score, so that parts of one work part."""
     turn = 1 + 0.5 * F.col("title") + 0.2 * F.col("pages") + 0.05 * F.col("volume") - F.when(F.col("years") > 1, 0.1).otherwise(0.0)
-    rated = pairs.withColumn("rating", F.col("score") * turn)
+    return pairs.withColumn("rating", F.col("score") * turn)
+
+
+def scored_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Candidates and what the exact search adds to them, with their BM25 score and agreement."""
+    first = materialize(_compared(candidates(left, right), left, right))
+    known = lambda name: rated(first).groupBy(F.col(name).alias("id")).agg(F.max("rating").alias("known"))
+    more = searched(left, right, known("a")).select(F.col("q").alias("a"), F.col("hit").alias("b"))
+    more = more.union(searched(right, left, known("b")).select(F.col("hit").alias("a"), F.col("q").alias("b")))
+    more = more.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
+    return first.union(_compared(more, left, right))
+
+
+def nearest(pairs: DataFrame) -> DataFrame:
+    """Pairs that are the citation's best or tie with it, near the record's best, with the gap to the next."""
     of_a = W.partitionBy("a")  # a citation's candidates are few; an outside record may have very many, so its best is aggregated
-    best_b = rated.groupBy("b").agg(F.max("rating").alias("best_b"))
-    rated = rated.join(best_b, "b").withColumn("best_a", F.max("rating").over(of_a))
+    pairs = rated(pairs)
+    best_b = pairs.groupBy("b").agg(F.max("rating").alias("best_b"))
+    pairs = pairs.join(best_b, "b").withColumn("best_a", F.max("rating").over(of_a))
     order = of_a.orderBy(F.desc("rating"), "b")
-    rated = rated.withColumn("rank", F.row_number().over(order)).withColumn("next", F.lead("rating").over(order))
+    pairs = pairs.withColumn("rank", F.row_number().over(order)).withColumn("next", F.lead("rating").over(order))
     second = F.when(F.col("rank") == 1, F.coalesce("next", F.lit(0.0))).otherwise(F.col("best_a"))
-    kept = rated.withColumn("gap", (F.col("rating") - second) / F.greatest("best_a", F.lit(1e-9)))
-    return kept.filter((F.col("rating") >= 0.85 * F.col("best_a")) & (F.col("rating") >= NEAR_BEST * F.least("best_b", "own_a")))
+    kept = pairs.withColumn("gap", (F.col("rating") - second) / F.greatest("best_a", F.lit(1e-9)))
+    return kept.filter((F.col("rating") >= TIE * F.col("best_a")) & (F.col("rating") >= NEAR_BEST * F.least("best_b", "own_a")))
 
 
 def _design(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from millrace.llm.matching import _keys, compare, match_records, read_citations, read_title, read_works, scored_pairs, weighted
+from millrace.llm.matching import TIE, _keys, candidates, compare, match_records, rated, read_citations, read_title, read_works, scored_pairs, weighted
 
 AUTHOR = "struct<full_name:string>"
 WORDS = "copper river winter signal garden planet engine market forest marble canyon violet".split()
@@ -73,3 +73,28 @@ def test_keys_are_selective():
 def test_confidence_is_a_share(spark, gap):
     b, e = library(spark)
     assert all(gap <= r.confidence <= 1 for r in match_records(b, e).collect())
+
+
+def test_best_of_every_record_is_exact_over_all_pairs(spark):
+    b, e = library(spark, 40)
+    # a citation and a record of few and frequent words have no conjunction that is rare enough
+    short = [(5000, "Copper river", [], None, None, None, None, None), (5001, "Signal garden", [("Ann Unseen",)], None, None, "1985", None, None)]
+    works = [(50_000, "copper river", None, None, None, None, None), (50_001, "signal garden", None, None, "1985", None, None)]
+    left, right = weighted(read_citations(b.union(spark.createDataFrame(short, b.schema))), read_works(e.union(spark.createDataFrame(works, e.schema))))
+    got = {(r.a, r.b): r.rating for r in rated(scored_pairs(left, right)).collect()}
+    first = {(r.a, r.b) for r in candidates(left, right).collect()}
+
+    def rate(x, y):
+        score, _, _, title, _, years, pages, volume, _ = compare(x, y)
+        return score * (1 + 0.5 * title + 0.2 * pages + 0.05 * volume - 0.1 * (years > 1))
+
+    xs, ys = ([r.asDict(recursive=True) for r in t.collect()] for t in (left, right))
+    every = {(x["id"], y["id"]): rate(x, y) for x in xs for y in ys}
+    assert got and all(abs(every[k] - v) < 1e-9 for k, v in got.items())
+    for side in (0, 1):
+        best = {}
+        for k, v in every.items():
+            best[k[side]] = max(best.get(k[side], 0.0), v)
+        lost = {k for k, v in every.items() if v > 0 and v >= TIE * best[k[side]] + 1e-9 and k not in got}
+        assert not lost, lost
+    assert (5000, 50_000) in got and (5000, 50_000) not in first
