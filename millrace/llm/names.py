@@ -48,24 +48,27 @@ _COLUMNS = {
 }
 
 
-def radius_join(names: DataFrame, group: list[str], name: str, radius: int = RADIUS) -> DataFrame:
-    """(group, name, other, distance): all ordered pairs of different names of a group within the radius.
+def radius_join(names: DataFrame, group: list[str], name: str, radius: int = RADIUS, others: DataFrame | None = None) -> DataFrame:
+    """(group, name, other, distance): all ordered pairs of different names of a group within the radius; ``other`` is of ``others`` if given.
 
     Metric-space partitioning. Pivots are names with the smallest hashes, more in larger groups. With p the
     home (nearest) pivot of y, a name x within the radius of y has d(x, p) <= d(y, p) + r <= d(y, q) + r <= d(x, q) + 2 r
     for every pivot q; so x is copied to each pivot within 2 r of its nearest, and no pair is lost.
     """
-    distinct = names.select(*group, F.col(name).alias("name")).distinct()
+    asked = names.select(*group, F.col(name).alias("name"), F.lit(True).alias("asks"), F.lit(others is None).alias("answers"))
+    if others is not None:
+        asked = asked.union(others.select(*group, F.col(name).alias("name"), F.lit(False), F.lit(True)))
+    distinct = asked.groupBy(*group, "name").agg(F.max("asks").alias("asks"), F.max("answers").alias("answers"))
     sizes = distinct.groupBy(*group).agg(F.least(F.lit(MOST_PIVOTS), F.ceil(F.count("*") / PIVOT_NAMES)).alias("n_pivots"))
     rank = F.row_number().over(W.partitionBy(*group).orderBy(F.xxhash64("name"), "name"))
     ranked = distinct.withColumn("pivot_no", rank).filter(F.col("pivot_no") <= MOST_PIVOTS)
     pivots = ranked.join(sizes, group).filter(F.col("pivot_no") <= F.col("n_pivots")).select(*group, "pivot_no", F.col("name").alias("pivot"))
-    spread = distinct.join(pivots, group).select(*group, "name", "pivot_no", F.levenshtein("name", "pivot").alias("d"))
+    spread = distinct.join(pivots, group).select(*group, "name", "asks", "answers", "pivot_no", F.levenshtein("name", "pivot").alias("d"))
     per = W.partitionBy(*group, "name")
     placed = spread.withColumn("least", F.min("d").over(per)).filter(F.col("d") <= F.col("least") + 2 * radius)
     placed = placed.withColumn("home", F.row_number().over(per.orderBy("d", "pivot_no")) == 1)
-    copies = placed.select(*group, "pivot_no", "name")
-    homes = placed.filter("home").select(*group, "pivot_no", F.col("name").alias("other"))
+    copies = placed.filter("asks").select(*group, "pivot_no", "name")
+    homes = placed.filter("home and answers").select(*group, "pivot_no", F.col("name").alias("other"))
     pairs = copies.join(homes, [*group, "pivot_no"]).filter((F.col("name") != F.col("other")) & (F.abs(F.length("name") - F.length("other")) <= radius))
     pairs = pairs.withColumn("distance", F.levenshtein("name", "other", radius)).filter("distance >= 0")
     return pairs.select(*group, "name", "other", "distance")
@@ -158,6 +161,27 @@ def spelled_right(parsed: DataFrame) -> DataFrame:
     return near.groupBy("place", "initial", F.col("name").alias("typed")).agg(F.max_by("other", order).alias("surname"))
 
 
+def spelled_anywhere(people: DataFrame, stray: DataFrame, placed: DataFrame) -> DataFrame:
+    """(surname, initial, right): for strays' surnames that no placed person of the initial has, the nearest that one has.
+
+    The rules are those within a cell; as there is no place to tell names apart, two nearest ones leave the surname as it is.
+    """
+    counts = people.filter("surname is not null").groupBy("surname").agg(F.count("*").alias("n"))
+    book = placed.filter("surname is not null and initial is not null").groupBy("initial", "surname").agg(F.collect_set("given").alias("givens_other"))
+    asks = stray.groupBy("initial", "surname").agg(F.collect_set("given").alias("givens")).join(book, ["initial", "surname"], "left_anti")
+    near = radius_join(asks, ["initial"], "surname", others=book)
+    near = near.join(asks.withColumnRenamed("surname", "name"), ["initial", "name"]).join(book.withColumnRenamed("surname", "other"), ["initial", "other"])
+    near = near.join(counts.withColumnRenamed("surname", "name"), "name").join(counts.select(F.col("surname").alias("other"), F.col("n").alias("n_other")), "other")
+    same_given = F.arrays_overlap("givens", "givens_other")
+    open_given = (F.size("givens") == 0) | (F.size("givens_other") == 0)
+    frequent = (F.col("n") * SUPPORT_RATIO <= F.col("n_other")) & (same_given | open_given | (F.col("distance") == 1))
+    alike = (F.col("n") <= F.least(F.lit(RARE_FORM), "n_other")) & (same_given | ((F.col("distance") == 1) & open_given))
+    near = near.filter(frequent | alike)
+    by = near.groupBy("initial", F.col("name").alias("surname"), "distance").agg(F.count("*").alias("n_right"), F.min("other").alias("right"))
+    best = by.groupBy("initial", "surname").agg(F.min_by(F.struct("n_right", "right"), "distance").alias("x"))
+    return best.filter("x.n_right = 1").select("surname", "initial", "x.right")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for a bipartite table of node and key: nodes that share keys, in chains, get the least node's label.
 
@@ -205,6 +229,8 @@ def link_people(parsed: DataFrame) -> DataFrame:
     # mentions without place and without address: to the only person whose name fits
     placed = people.filter("place is not null or email is not null or orcid is not null")
     stray = people.filter("place is null and email is null and orcid is null and surname is not null and initial is not null")
+    # a misspelt surname without a place is in no cell: it is sought among all surnames of its initial
+    stray = stray.join(spelled_anywhere(people, stray, placed), ["surname", "initial"], "left").withColumn("surname", F.coalesce("right", "surname")).drop("right")
     persons = placed.filter("surname is not null and initial is not null").groupBy("surname", "initial", "person").agg(
         F.collect_set("given").alias("givens"), F.collect_set("middle_initial").alias("middles")
     )

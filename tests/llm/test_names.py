@@ -103,3 +103,12 @@ def test_links(spark):
     assert {(k, a, b) for k, a, b in got if k != "person"} == {("institution", 1, 2), ("institution", 1, 3), ("department", 10, 2), ("department", 10, 3)}
     assert link_names(df.limit(0), units).count() == 0
     assert fold("Größe") == "grosse"
+
+
+def test_misspelt_surname_without_place(spark):
+    rows = [(i, "Peter Longstocking", None, None, "University of Northfield", None, None, "x") for i in range(1, 7)]
+    rows += [(20, "Peter Longstokcing", None, None, "Retired", None, None, "x"), (21, "Peter Longsticking", None, None, None, None, None, "x"), (22, "Peter Wintermark", None, None, None, None, None, "x")]
+    rows += [(100 + i, f"{g} Filler{chr(97 + i)}", None, None, None, None, "Eastham", "x") for i, g in enumerate(["Peter", "Thomas", "Anna", "Maria"] * 5)]
+    units = spark.createDataFrame(UNITS, "unit_id long, parent_id long, unit_level string, unit_name string, settlement string")
+    people = {(r.key_a, r.key_b) for r in link_names(spark.createDataFrame(rows, COLUMNS), units).collect() if r.kind == "person"}
+    assert {(1, 20), (1, 21), (6, 20)} <= people and not any(22 in p for p in people)
