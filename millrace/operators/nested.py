@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 #: Bytes of text that are indexed together in one pass.
 CHUNK_BYTES = 4 << 20
-#: Bytes of a key that take part in its comparison; longer keys are never field names here.
+#: Bytes of a key that are compared as fixed-width rows; longer keys are decoded one by one.
 KEY_BYTES = 24
 
 # Field names as written by the program versions, without underscores and in lower case.
@@ -202,7 +202,15 @@ class Index:
         grid = np.where(np.arange(KEY_BYTES) < length[:, None], grid, 0).astype(np.uint8)
         rows = np.ascontiguousarray(grid).view(f"V{KEY_BYTES}").ravel()
         found, inverse = np.unique(rows, return_inverse=True)
-        names = [bytes(x).rstrip(b"\0").decode("utf-8", "replace").replace("_", "").lower() for x in found]
+        plain = lambda x: x.decode("utf-8", "replace").replace("_", "").lower()
+        names = [plain(bytes(x).rstrip(b"\0")) for x in found]
+        longer: dict[bytes, int] = {}
+        for k in np.flatnonzero(length > KEY_BYTES).tolist():
+            whole = self.blob[start[k] : start[k] + length[k]]
+            if whole not in longer:
+                longer[whole] = len(names)
+                names.append(plain(whole))
+            inverse[k] = longer[whole]
         return inverse, names
 
     def children(self, node: int) -> np.ndarray:

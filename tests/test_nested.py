@@ -104,3 +104,10 @@ def test_biblio_authors_as_three_tables(spark, tmp_path):
     assert got["people"] == [(1, 2, *full[:6]), (1, 3, *blank[:6]), (1, 4, "Bob", *[None] * 5)]
     assert got["affiliations"] == [(1, 2, 1, "I", "D", "L"), (1, 3, 1, "J", None, None)]
     assert got["addresses"] == [(1, 2, 1, "1 Road", "99", "Town", "Land")]
+
+
+def test_long_keys_stay_apart(spark):
+    stem = "acquisition_information_of_the_"
+    doc = {"header": {"title": "T", f"{stem}first": "1", f"{stem}second": "2"}}
+    fields = next(r.fields for r in rows(spark, [json.dumps(doc)]) if r.level == "biblio")
+    assert fields == {"title": "T", "acquisitioninformationofthefirst": "1", "acquisitioninformationofthesecond": "2"}
