@@ -20,7 +20,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +32,10 @@ from millrace.sources.tables import columns_or_null, table
 SUPPORT_RATIO, SUPPORT_COUNT = 5, 4
 #: A line-end pair that recurs so often while its joined form never occurs is a compound.
 COMPOUND_PAIRS = 3
-HEADER_PAGES = 2
+#: A first line is an item's header if so many of its detections have it; one of so many items is a journal's.
+HEADER_ROWS, JOURNAL_ITEMS = 2, 3
+#: Categories that are no header by their place: captions and formulas.
+NO_HEADER = (4, 6, 8, 14)
 
 # What a recogniser reads (right) for what is printed (left).
 CONFUSIONS = (
@@ -60,7 +63,7 @@ _NUMBER_LINE = re.compile(
     r"^[\[(\-–—\s]*(p(?:age|\.|ág\.?|ágina)?|seite|s\.|pagina|pag\.?)?\s*([\dOol|]{1,5})(?:\s*/\s*([\dOol|]{1,5}))?[\])\-–—\s]*$", re.I
 )
 _NUMBER_EDGE = re.compile(r"^([\dOol]{1,5})\s{2,}\S|\S\s{2,}([\dOol]{1,5})\s*$")
-_EDGE = re.compile(r"^\d{1,5}\s{2,}|\s{2,}\d{1,5}\s*$")
+_DIGITS = re.compile(r"^[^\w@†|!$]*\d[\dOolI|.,:/\-–—]*[^\w@†|!$]*$")
 
 
 def skeleton(word: str) -> str:
@@ -87,8 +90,9 @@ def explains(seen: str, true: str, limit: int = 6) -> bool:
 
 
 def _key(line: str) -> str:
-    """A header line with digits masked, case, spaces and glyph confusions undone."""
-    return skeleton("".join(c for c in _EDGE.sub(" ", line).lower() if c.isalpha() or c in "@†|!$"))
+    """A header line with numbers masked, case, spaces and glyph confusions undone; numbers at its edges (pages, volumes) go."""
+    tokens = ("#" if _DIGITS.match(t) else skeleton("".join(c for c in t if c.isalnum() or c in "@†|!$")) for t in line.lower().split())
+    return "" if _NUMBER_LINE.match(line) else "".join(tokens).strip("#")
 
 
 def _number(text: str) -> int | None:
@@ -143,21 +147,20 @@ def _facts(lines: list[str]) -> tuple:
         elif e := _NUMBER_EDGE.search(line):
             if (n := _number(e.group(1) or e.group(2))) is not None:
                 numbers.append((place + "-edge", n, False))
-    return words, pairs, direct, first, _key(first), len(lines), numbers
+    return words, pairs, direct, _key(first), len(lines), numbers
 
 
 _FACT_TYPES = [
     ("words", pa.list_(pa.string())),
     ("pairs", pa.list_(pa.struct([("a", pa.string()), ("mark", pa.string()), ("b", pa.string())]))),
     ("direct", pa.bool_()),
-    ("first", pa.string()),
     ("key", pa.string()),
     ("n_lines", pa.int32()),
     ("numbers", pa.list_(pa.struct([("place", pa.string()), ("n", pa.int64()), ("explicit", pa.bool_())]))),
 ]
 _FACT_SCHEMA = (
-    "det_id long, data_id string, page int, y double, category_id int, words array<string>, pairs array<struct<a:string,mark:string,b:string>>, "
-    "direct boolean, first string, key string, n_lines int, numbers array<struct<place:string,n:bigint,explicit:boolean>>"
+    "det_id long, data_id string, page int, y double, height double, category_id int, words array<string>, pairs array<struct<a:string,mark:string,b:string>>, "
+    "direct boolean, key string, n_lines int, numbers array<struct<place:string,n:bigint,explicit:boolean>>"
 )
 _TABLE = {
     "det_id": "long", "data_id": "string", "page": "int", "box_id": "int", "category_id": "int", "poly": "array<double>",
@@ -168,14 +171,14 @@ _TABLE = {
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[] for _ in _FACT_TYPES]
-        for lines in batch.column(5).to_pylist():
+        for lines in batch.column(6).to_pylist():
             facts = _facts(lines)
             for column, value in zip(out, facts):
                 column.append(value)
         out[1] = [[dict(zip(("a", "mark", "b"), p)) for p in ps] for ps in out[1]]
-        out[6] = [[dict(zip(("place", "n", "explicit"), p)) for p in ps] for ps in out[6]]
-        arrays = [*(batch.column(k) for k in range(5)), *(pa.array(c, t) for c, (_, t) in zip(out, _FACT_TYPES))]
-        yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:5], *(n for n, _ in _FACT_TYPES)])
+        out[5] = [[dict(zip(("place", "n", "explicit"), p)) for p in ps] for ps in out[5]]
+        arrays = [*(batch.column(k) for k in range(6)), *(pa.array(c, t) for c, (_, t) in zip(out, _FACT_TYPES))]
+        yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:6], *(n for n, _ in _FACT_TYPES)])
 
 
 def _lines(detections: DataFrame) -> DataFrame:
@@ -188,7 +191,8 @@ def _lines(detections: DataFrame) -> DataFrame:
 
 def scan_facts(detections: DataFrame) -> DataFrame:
     """What each detection's lines show on their own; one narrow pass."""
-    rows = _lines(detections).select("det_id", "data_id", "page", F.try_element_at("poly", F.lit(2)).alias("y"), "category_id", "lines")
+    y = F.try_element_at("poly", F.lit(2))
+    rows = _lines(detections).select("det_id", "data_id", "page", y.alias("y"), (F.try_element_at("poly", F.lit(6)) - y).alias("height"), "category_id", "lines")
     return rows.mapInArrow(_scan, _FACT_SCHEMA)
 
 
@@ -197,9 +201,14 @@ def vocabulary(facts: DataFrame) -> DataFrame:
     return facts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-@F.pandas_udf(T.StringType())
-def _skeletons(words):
-    return words.map(skeleton)
+def _skeletons(word: str) -> Column:
+    """``skeleton`` as a native expression; no glyph that is written out stands in what others are written out as."""
+    single = {chr(c): to for c, to in _FOLD.items() if len(to) == 1}
+    folded = F.translate(word, "".join(single), "".join(single.values()))
+    for c, to in _FOLD.items():
+        if len(to) > 1:
+            folded = F.replace(folded, F.lit(chr(c)), F.lit(to))
+    return folded
 
 
 @F.pandas_udf(T.BooleanType())
@@ -232,24 +241,41 @@ def breaks(facts: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def headers(facts: DataFrame) -> DataFrame:
-    """(det_id, alone, title): detections whose first line is a running header; alone: the line is the whole text."""
-    lines = facts.filter(F.length("key") >= 4).select("det_id", "data_id", "page", "y", "category_id", "n_lines", "key", "first")
-    per = lines.groupBy("data_id", "key").agg(
-        F.count_distinct("page").alias("n_pages"), F.min("y").alias("top"), F.count_if(F.col("n_lines") == 1).alias("n_alone")
+    """(det_id, alone): detections whose first line is a running header; alone: the line is the whole text.
+
+    A key is an item's own if it comes first in at least HEADER_ROWS of its detections and stands alone at the
+    top of a page; it is confirmed if it does so at least once not as a title, caption or formula. The usual height
+    of confirmed keys is the item's header level. Headers are the lines alone at the top of a page and on that level
+    (so a title below it is none), and body text that begins with an own key. An item without a confirmed key has
+    a header where a line alone at the top of a page is one of many items (a journal), or is no title and stands
+    on the level most items have. Captions and formulas never are headers by their place. Rows without data_id, page or height are no headers by their place.
+    """
+    lines = facts.filter(F.length("key") >= 4).select("det_id", "data_id", "page", "y", "height", "category_id", "n_lines", "key")
+    tops = facts.groupBy("data_id", "page").agg(F.min("y").alias("top"))
+    at_top = (F.col("n_lines") == 1) & (F.col("y") <= F.col("top"))
+    lines = lines.join(tops, ["data_id", "page"], "left").withColumn("at_top", F.coalesce(at_top, F.lit(False)))
+    keys = lines.groupBy("data_id", "key").agg(
+        F.count_distinct("det_id").alias("n_rows"), F.count_if("at_top").alias("n_top"),
+        F.count_if(F.col("at_top") & ~F.col("category_id").isin(0, *NO_HEADER)).alias("n_plain"), F.percentile_approx(F.when(F.col("at_top"), F.col("y")), 0.5).alias("y_top")
+    )
+    known = materialize(keys.filter((F.col("n_rows") >= HEADER_ROWS) & (F.col("n_top") > 0)).select("data_id", "key", "n_top", "n_plain", "y_top"))
+    confirmed = known.filter("n_plain > 0")
+    levels = confirmed.groupBy("data_id").agg(F.max_by("y_top", F.struct("n_top", -F.col("y_top"))).alias("level"))
+    usual = levels.agg(F.percentile_approx("level", 0.5, 1000).alias("usual"))
+    journals = confirmed.groupBy("key").agg(F.count("*").alias("n_items")).filter(F.col("n_items") >= JOURNAL_ITEMS).select("key", F.lit(True).alias("journal"))
+    marked = (
+        lines.join(known.select("data_id", "key", F.lit(True).alias("own")), ["data_id", "key"], "left")
+        .join(levels, "data_id", "left")
+        .join(broadcast_if_small(materialize(journals)), "key", "left")
+        .crossJoin(F.broadcast(usual))  # one row
+    )
+    own, journal = F.coalesce("own", F.lit(False)), F.coalesce("journal", F.lit(False))
+    on = lambda level: F.abs(F.col("y") - F.col(level)) <= F.greatest("height", F.lit(0.0)) / 2
+    placed = F.when(F.col("level").isNotNull(), on("level") & (own | ~F.col("category_id").isin(*NO_HEADER))).otherwise(
+        on("usual") & (journal | F.col("category_id").isin(1, 2))
     )
-    repeated = per.filter((F.col("n_pages") >= HEADER_PAGES) & (F.col("n_alone") > 0))
-    # the band of the page where repeated lines stand, over all items
-    band = repeated.agg(F.percentile_approx("top", 0.9, 1000).alias("band"))
-    above = lines.crossJoin(F.broadcast(band))
-    in_band = (F.col("n_lines") == 1) & (F.col("y") <= F.col("band"))
-    # keys of lines alone in the band belong to the item, seen once or more; lines of many items (journals) to all
-    own = above.filter(in_band).select("data_id", "key").distinct()
-    journals = own.groupBy("key").agg(F.count("*").alias("n_items")).filter("n_items >= 3").select("key")
-    known = own.select("data_id", "key", F.lit(True).alias("own"))
-    marked = above.join(known, ["data_id", "key"], "left").join(journals.withColumn("journal", F.lit(True)), "key", "left")
-    shout = (F.col("n_lines") > 2) & (F.upper("first") == F.col("first")) & (F.lower("first") != F.col("first")) & (F.length("first") > 15)
-    merged = (F.col("n_lines") > 1) & (F.coalesce("own", F.lit(False)) | F.coalesce("journal", F.lit(False)) | shout)
-    return marked.filter(in_band | merged).select("det_id", (F.col("n_lines") == 1).alias("alone")).distinct()
+    merged = (F.col("n_lines") > 1) & (own | journal) & ~F.col("category_id").isin(0, *NO_HEADER)
+    return marked.filter((F.col("at_top") & placed) | merged).select("det_id", (F.col("n_lines") == 1).alias("alone")).distinct()
 
 
 def page_numbers(facts: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm.scans import CONFUSIONS, explains, reflow, repair_lines, scan_defects, skeleton
+from millrace.llm.scans import CONFUSIONS, _skeletons, explains, reflow, repair_lines, scan_defects, skeleton
 
 GOOD = "the modern kernel of a balanced channel shows a stable element during winter months".split()
 
@@ -77,3 +77,40 @@ def test_reflow(spark):
     got = reflow(spark.createDataFrame(data, SCHEMA)).orderBy("paragraph_no").collect()
     text = "\n".join(r.text for r in got)
     assert "STABLE KERNEL" not in text and "- 1" not in text and "a balanced channel" in text and "long-term" in text and "kcrnel" not in text
+
+
+def test_native_skeleton(spark):
+    words = ["".join(b for _, b in CONFUSIONS), "c@5$!†0|1l9nmuhb6dw", "", "plain words", "ﬁx‐ing"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", _skeletons("w").alias("s")).collect()
+    assert all(r.s == skeleton(r.w) for r in got)
+
+
+def test_titles_captions_and_repeated_body_lines_are_no_headers(spark):
+    """Over half of the repeated keys are titles, captions and body lines; one item has no header on its first page, one has none at all."""
+    out = []
+
+    def add(item, page, y, cat, lines):
+        out.append((len(out) + 1, item, page, len(out), cat, [0.0, float(y), 9.0, float(y), 9.0, y + 20.0, 0.0, y + 20.0], lines, "\n".join(lines)))
+        return len(out)
+
+    heads = set()
+    for k in range(6):
+        item = f"item{k}"
+        title = f"On the motion of {'abcdef'[k] * 5} plates"
+        for page in range(1, 5):
+            if page > 1 or k != 0:
+                heads.add(add(item, page, 40, 0 if page == 3 else 2, [title if page % 2 else f"Annals of Plates 1{page}"]))
+            if page == 1:
+                add(item, page, 60, 0, [title])
+            add(item, page, 120, 1, ["Results and their discussion follow here"])
+            add(item, page, 200, 4, [f"Figure {page}. A plate"])
+            add(item, page, 250, 6, [f"Table {page}. Some plates"])
+            add(item, page, 300, 1, ["Results and their discussion follow here", "as was said before."])
+            add(item, page, 500, 2, [f"Page {page + 7}"])
+        heads.add(add(item, 5, 120, 1, [title, "and the text of the page goes on."]))
+        add(item, 6, 60, 0, ["Conclusions"])
+    for page in (1, 2):
+        add("bare", page, 60, 0, ["A section"])
+        add("bare", page, 120, 1, ["Some text of a page without a header."])
+    got = {r.det_id for r in scan_defects(spark.createDataFrame(out, SCHEMA)).collect() if r.defect == "header"}
+    assert got == heads
