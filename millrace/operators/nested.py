@@ -6,8 +6,8 @@ delimiters outside strings; prefix sums give string membership and nesting depth
 array positions are array operations over all tokens of the batch. Only the spans that end up
 in output rows are decoded one by one.
 
-Results for awkward input: null, blank or invalid JSON gives no rows; JSON inside a JSON string
-is unwrapped as often as needed; a lone object stands for an array of one; nulls in arrays keep
+Results for awkward input: null, blank or invalid JSON gives no rows; JSON inside a JSON string,
+be it the payload or any level below, is unwrapped as often as needed; a lone object stands for an array of one; nulls in arrays keep
 their position but give no row; repeated payloads give repeated rows (callers make them distinct).
 """
 
@@ -35,6 +35,7 @@ ROLE_KEYS = {"authors": "author", "author": "author", "editors": "editor", "edit
 AFFILIATION_KEYS = ("affiliation", "affiliations")
 ADDRESS_KEYS = ("address",)
 INDEX_KEY = "index"
+LEVEL_KEYS = frozenset((*HEADER_KEYS, *CITATION_KEYS, *ROLE_KEYS, *AFFILIATION_KEYS, *ADDRESS_KEYS))
 RECORD_KEYS = frozenset((*HEADER_KEYS, *CITATION_KEYS, "authors", "title", "grobidversion"))
 
 _NUMBER = re.compile(rb"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?\Z")
@@ -173,6 +174,7 @@ class Index:
         )
         bad[self.doc[~fine]] = True
         self.valid = ~bad
+        self.replaced = np.zeros(n, bool)  # set where a text comes again with its strings unwrapped
         self.root = np.where(has, tok_begin, -1)
         # key of a value: the string two tokens before it
         self.name = np.full(m, -1, np.int64)
@@ -213,6 +215,12 @@ class Index:
             inverse[k] = longer[whole]
         return inverse, names
 
+    def key_above(self, node: int) -> str:
+        """The key of a value, or of the arrays it is in."""
+        while node >= 0 and self.name[node] < 0:
+            node = int(self.parent[node])
+        return self.names[self.name[node]] if node >= 0 else ""
+
     def children(self, node: int) -> np.ndarray:
         lo, hi = np.searchsorted(self.kid_parent, (node, node + 1))
         return self.kids[lo:hi]
@@ -255,8 +263,43 @@ class Index:
             i += 1
 
 
+def _wrapped(index: Index) -> Iterator[tuple[int, bytes]]:
+    """(token, content) of the strings that may hold nested JSON: the whole payload, objects anywhere, arrays at the levels of the record."""
+    if not len(index.pos):
+        return
+    head = np.frombuffer(index.blob, np.uint8)[index.pos + 1]  # the byte after the token's first; each text ends in a separator
+    some = (index.kind == _STRING) & index.value & index.valid[index.doc] & np.isin(head, np.frombuffer(b"{[ \\\"", np.uint8))
+    for node in np.flatnonzero(some).tolist():
+        inner = (index.text(node) or "").strip()
+        while inner[:1] == '"':  # wrapped more than once
+            try:
+                inner = json.loads(inner).strip()
+            except ValueError:
+                break
+        if inner[:1] == "{" or inner[:1] == "[" and (index.parent[node] < 0 or index.key_above(node) in LEVEL_KEYS):
+            yield node, inner.encode("utf-8", "surrogatepass")
+
+
+def _unwrapped(index: Index) -> dict[int, bytes]:
+    """New texts of the payloads in which strings hold valid JSON, with these put in their place."""
+    found = list(_wrapped(index))
+    inner = Index([t for _, t in found])
+    fits = [(node, t) for k, (node, t) in enumerate(found) if inner.valid[k] and inner.kind[inner.root[k]] == _OPEN]
+    parts: dict[int, list[bytes]] = {}
+    done: dict[int, int] = {}
+    for node, text in fits:  # in order of position
+        doc = int(index.doc[node])
+        parts.setdefault(doc, []).extend((index.blob[done.get(doc, index.begin[doc]) : index.pos[node]], text))
+        done[doc] = int(index.end[node]) + 1
+    return {doc: b"".join(p) + index.blob[done[doc] : index.begin[doc + 1] - 1] for doc, p in parts.items()}
+
+
 def index_all(texts: list[str | None]) -> Iterator[tuple[list[int], Index]]:
-    """Structural indexes over ``texts`` in chunks, with the row of each indexed text; strings that hold JSON are indexed again."""
+    """Structural indexes over ``texts`` in chunks, with the row of each indexed text.
+
+    Strings that hold JSON, at any depth and as often as they are wrapped, are put in place and indexed again;
+    an index marks the texts that do so as replaced.
+    """
     todo = [(i, t.encode("utf-8", "surrogatepass")) for i, t in enumerate(texts) if t]
     while todo:
         again: list[tuple[int, bytes]] = []
@@ -268,10 +311,9 @@ def index_all(texts: list[str | None]) -> Iterator[tuple[list[int], Index]]:
                 stop += 1
             part = todo[at:stop]
             index = Index([t for _, t in part])
-            for k, (row, _) in enumerate(part):
-                root = int(index.root[k])
-                if index.valid[k] and index.kind[root] == _STRING:
-                    again.append((row, (index.text(root) or "").encode("utf-8", "surrogatepass")))
+            for k, text in _unwrapped(index).items():
+                again.append((part[k][0], text))
+                index.replaced[k] = True
             yield [row for row, _ in part], index
             at = stop
         todo = again
@@ -382,7 +424,7 @@ def _flatten(levels: frozenset[str] | None):
             for rows, index in index_all(texts):
                 out: list[list] = [[] for _ in schema]
                 for k, row in enumerate(rows):
-                    if index.valid[k] and index.kind[index.root[k]] == _OPEN:
+                    if index.valid[k] and not index.replaced[k] and index.kind[index.root[k]] == _OPEN:
                         for level, *keys, fields in _nodes(index, int(index.root[k])):
                             if levels is None or level in levels:
                                 for column, value in zip(out, (ids[row], level, *keys, list(fields.items()))):

@@ -111,3 +111,18 @@ def test_long_keys_stay_apart(spark):
     doc = {"header": {"title": "T", f"{stem}first": "1", f"{stem}second": "2"}}
     fields = next(r.fields for r in rows(spark, [json.dumps(doc)]) if r.level == "biblio")
     assert fields == {"title": "T", "acquisitioninformationofthefirst": "1", "acquisitioninformationofthesecond": "2"}
+
+
+def test_json_in_strings_at_every_level(spark):
+    address = {"post_code": "1", "settlement": "a \"quoted\" place"}
+    affiliation = {"institution": "I", "address": json.dumps(address)}
+    person = {"full_name": "A", "affiliation": json.dumps([json.dumps(affiliation), "{broken", None])}
+    title = "[1, 2] {} of sets"
+    for authors in (json.dumps([json.dumps(person)]), [person], json.dumps(person)):
+        doc = {"header": json.dumps({"title": title, "authors": authors}), "citations": json.dumps([json.dumps({"index": 2, "authors": authors})])}
+        for text in (json.dumps(doc), json.dumps({"document": json.dumps(json.dumps(doc))})):
+            got = rows(spark, [text])
+            assert {(r.biblio_no, r.person_no, r.affil_no) for r in got if r.level == "address"} == {(0, 1, 1), (3, 1, 1)}
+            assert all(r.fields == {"postcode": "1", "settlement": address["settlement"]} for r in got if r.level == "address")
+            assert {r.fields["institution"] for r in got if r.level == "affiliation"} == {"I", "{broken"}
+            assert [r.fields["title"] for r in got if r.level == "biblio" and r.biblio_no == 0] == [title]
