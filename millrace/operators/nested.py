@@ -330,11 +330,16 @@ def _record(index: Index, root: int) -> int:
     return -1
 
 
-def _scalars(index: Index, members: dict[str, int], skip: frozenset[str]) -> dict[str, str]:
+def _scalars(index: Index, members: dict[str, int], skip: frozenset[str], above: str = "") -> dict[str, str]:
+    """Scalar fields by name; those of an object inside by dotted names; an array as its JSON."""
     out = {}
     for name, node in members.items():
-        if name not in skip and (text := index.text(node)) is not None:
-            out[name] = text
+        if name in skip:
+            continue
+        if index.is_object(node):
+            out |= _scalars(index, index.members(node), frozenset(), f"{above}{name}.")
+        elif (text := index.text(node)) is not None:
+            out[above + name] = text
     return out
 
 
@@ -438,7 +443,7 @@ def flatten_records(df: DataFrame, id_col: str = "rec_id", payload_col: str = "p
     """Rows of every level of each payload: document, biblio, person, affiliation, address.
 
     A child row carries the keys of its parents (rec_id, biblio_no, person_role, person_no, affil_no);
-    ``fields`` holds the scalar fields under normalised names. One narrow pass, no shuffle.
+    ``fields`` holds the scalar fields under normalised names, those of objects inside under dotted ones. One narrow pass, no shuffle.
     Null, blank and invalid payloads give no rows; an empty table gives an empty result.
     """
     rows = df.select(F.col(id_col).cast("long").alias("rec_id"), F.col(payload_col).cast("string").alias("payload"))
