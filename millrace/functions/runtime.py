@@ -34,18 +34,47 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one only where it is unset."""
+    """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one only where it is unset on one machine, as in tests.
+
+    On a cluster without the setting every executor would write to its own disk, so that is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder in the shared one; it is deleted when the application ends, or by ``release``."""
+    folder = f"{shared_folder(spark).rstrip('/')}/millrace-{spark.sparkContext.applicationId}"
+    marked = spark.sparkContext.__dict__.setdefault("_millrace_marked", set())
+    if folder not in marked:
+        path, files = _file_system(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        marked.add(folder)
+    return folder
+
+
+def _file_system(spark: SparkSession, folder: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all tables this application has written to cut lineage; DataFrames that read them can't be used afterwards."""
+    path, files = _file_system(spark, scratch_folder(spark))
+    files.delete(path, True)
+    files.mkdirs(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends there, and column pruning still works."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

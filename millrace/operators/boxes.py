@@ -1,9 +1,8 @@
 """Boxes on pages: rectangle algebra, suppression, merging, assignment, reading order.
 
 Boxes are rows with a page key and xmin, ymin, xmax, ymax. Pairs are formed within a page only, by an
-equi-join on the page with the geometric condition on top; a page holds few boxes. To keep a page with very
-many boxes from becoming one large group, pairs can be formed within horizontal bands (``banded``), in
-which every overlapping pair still meets.
+equi-join on the page and on bands of height with the geometric condition on top, so that a page with very
+many boxes is no large group; every overlapping pair still meets. Boxes with a null side meet nothing.
 """
 
 from __future__ import annotations
@@ -12,12 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.runtime import materialize
+from millrace.operators.graph import components as connected
 
 SIDES = ("xmin", "ymin", "xmax", "ymax")
 COVER, MERGE_LINE, MERGE_AREA, MERGE_GAP, ATTACH, SHRINK = 0.8, 0.6, 0.6, 0.1, 0.7, 0.1
 FIGURE, FORMULA = 3, 14
-MOST_ROUNDS = 30
+#: Height of the bands in which boxes of a page are paired, in the unit of the boxes.
+BAND = 100.0
 
 
 def rect_of_poly(poly: Column) -> list[Column]:
@@ -43,20 +43,25 @@ def _side(df: DataFrame, prefix: str, page: list[str]) -> DataFrame:
     return df.select(*page, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in page])
 
 
-def pairs(df: DataFrame, page: list[str], banded: float | None = None) -> DataFrame:
-    """Ordered pairs of different boxes of a page that meet (strictly), columns prefixed a_ and b_.
+def neighbours(a: DataFrame, b: DataFrame, page: list[str], axis: str = "y", banded: float = BAND) -> DataFrame:
+    """All (a, b) of a page whose stretches on an axis touch, columns prefixed a_ and b_.
 
-    With ``banded`` (a height) boxes are copied to every band they touch and each pair is taken in the first common one.
+    Boxes are copied to every band they touch and each pair is taken in the first common one, so that a page
+    with very many boxes is split and boxes far from each other never meet.
     """
-    meets = (F.col("a_xmin") < F.col("b_xmax")) & (F.col("b_xmin") < F.col("a_xmax")) & (F.col("a_ymin") < F.col("b_ymax")) & (F.col("b_ymin") < F.col("a_ymax"))
-    if banded is None:
-        return _side(df, "a_", page).join(_side(df, "b_", page), page).filter((F.col("a_box") != F.col("b_box")) & meets)
-    bands = F.sequence(F.floor(F.col("ymin") / banded), F.floor(F.col("ymax") / banded))
-    spread = df.withColumn("band", F.explode(bands))
+    low, high = f"{axis}min", f"{axis}max"
     keys = [*page, "band"]
-    first = F.greatest(F.floor(F.col("a_ymin") / banded), F.floor(F.col("b_ymin") / banded))
-    found = _side(spread, "a_", keys).join(_side(spread, "b_", keys), keys)
-    return found.filter((F.col("band") == first) & (F.col("a_box") != F.col("b_box")) & meets).drop("band")
+    spread = lambda df: df.withColumn("band", F.explode(F.sequence(F.floor(F.col(low) / banded), F.floor(F.greatest(low, high) / banded))))
+    found = _side(spread(a), "a_", keys).join(_side(spread(b), "b_", keys), keys)
+    first = F.greatest(F.floor(F.col(f"a_{low}") / banded), F.floor(F.col(f"b_{low}") / banded))
+    touch = (F.col(f"a_{low}") <= F.col(f"b_{high}")) & (F.col(f"b_{low}") <= F.col(f"a_{high}"))
+    return found.filter((F.col("band") == first) & touch).drop("band")
+
+
+def pairs(df: DataFrame, page: list[str], banded: float = BAND) -> DataFrame:
+    """Ordered pairs of different boxes of a page that meet (strictly), columns prefixed a_ and b_."""
+    meets = (F.col("a_xmin") < F.col("b_xmax")) & (F.col("b_xmin") < F.col("a_xmax")) & (F.col("a_ymin") < F.col("b_ymax")) & (F.col("b_ymin") < F.col("a_ymax"))
+    return neighbours(df, df, page, banded=banded).filter((F.col("a_box") != F.col("b_box")) & meets)
 
 
 def suppressed(df: DataFrame, page: list[str], figures_apart: bool = False) -> DataFrame:
@@ -72,7 +77,7 @@ def suppressed(df: DataFrame, page: list[str], figures_apart: bool = False) -> D
 
 def merge_edges(df: DataFrame, page: list[str]) -> DataFrame:
     """Pairs on one line with a small gap (not two isolated formulas), and pairs that share most of their union box."""
-    p = _side(df, "a_", page).join(_side(df, "b_", page), page).filter(F.col("a_box") < F.col("b_box"))
+    p = neighbours(df, df, page).filter(F.col("a_box") < F.col("b_box"))  # both rules ask for a common stretch of height
     height = lambda k: F.col(f"{k}ymax") - F.col(f"{k}ymin")
     union_height = F.greatest("a_ymax", "b_ymax") - F.least("a_ymin", "b_ymin")
     union_area = (F.greatest("a_xmax", "b_xmax") - F.least("a_xmin", "b_xmin")) * union_height
@@ -82,17 +87,11 @@ def merge_edges(df: DataFrame, page: list[str]) -> DataFrame:
 
 
 def components(nodes: DataFrame, edges: DataFrame, page: list[str]) -> DataFrame:
-    """Smallest box of each connected component, by minimum labels; rounds end when nothing changes."""
-    both = materialize(edges.select(*page, F.col("a_box").alias("box"), F.col("b_box").alias("other")).union(edges.select(*page, "b_box", "a_box")))
-    labels = materialize(nodes.select(*page, "box", F.col("box").alias("label")).distinct())
-    for _ in range(MOST_ROUNDS):
-        near = both.join(labels.select(*page, F.col("box").alias("other"), F.col("label").alias("near")), [*page, "other"])
-        best = near.groupBy(*page, "box").agg(F.min("near").alias("near"))
-        new = materialize(labels.join(best, [*page, "box"], "left").select(*page, "box", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
-        labels = new.drop("moved")
-        if new.filter("moved").isEmpty():
-            break
-    return labels
+    """Smallest box of each connected component; a box without an edge is its own."""
+    ends = edges.select(F.explode(F.array(F.struct(*page, F.col("a_box").alias("box")), F.struct(*page, F.col("b_box").alias("box")))).alias("node"), F.struct(*page, "a_box", "b_box").alias("key"))
+    joined = connected(ends).select(*[F.col(f"node.{c}").alias(c) for c in (*page, "box")], F.col("label.box").alias("label"))
+    alone = nodes.select(*page, "box").distinct().join(joined, [*page, "box"], "left")
+    return alone.select(*page, "box", F.coalesce("label", "box").alias("label"))
 
 
 def merged(df: DataFrame, page: list[str]) -> DataFrame:
@@ -116,21 +115,23 @@ def free_intervals(df: DataFrame, page: list[str]) -> DataFrame:
 def attached(inner: DataFrame, outer: DataFrame, page: list[str]) -> DataFrame:
     """Boxes assigned to the regions that hold most of their middle (both shrunk by a tenth at each side)."""
     w, h = F.col("a_xmax") - F.col("a_xmin"), F.col("a_ymax") - F.col("a_ymin")
-    p = _side(inner, "a_", page).join(_side(outer, "b_", page), page)
+    p = neighbours(inner, outer, page)
     core = p.withColumns({"c_xmin": F.col("a_xmin") + SHRINK * w, "c_xmax": F.col("a_xmax") - SHRINK * w, "c_ymin": F.col("a_ymin") + SHRINK * h, "c_ymax": F.col("a_ymax") - SHRINK * h})
     return core.filter((area("c_") > 0) & (common_area("c_", "b_") > ATTACH * area("c_"))).select(*page, "a_box", "b_box")
 
 
 def captions(df: DataFrame, page: list[str], holders: list[int], caption: list[int], ranks: int = 2) -> DataFrame:
     """Each caption's nearest figure or table by the gap on an axis, among neighbours in reading order; ties to the first."""
-    p = _side(df.filter(F.col("cat").isin(*caption)), "a_", page).join(_side(df.filter(F.col("cat").isin(*holders)), "b_", page), page)
+    # a caption looks up the few boxes around it by their numbers
+    asks = _side(df.filter(F.col("cat").isin(*caption)), "a_", page).withColumn("b_box", F.explode(F.sequence(F.col("a_box") - ranks, F.col("a_box") + ranks)))
+    p = asks.join(_side(df.filter(F.col("cat").isin(*holders)), "b_", page), [*page, "b_box"])
     width = F.least(F.col("a_xmax") - F.col("a_xmin"), F.col("b_xmax") - F.col("b_xmin"))
     height = F.least(F.col("a_ymax") - F.col("a_ymin"), F.col("b_ymax") - F.col("b_ymin"))
     over, beside = overlap("x") > ATTACH * width, overlap("y") > ATTACH * height
     gap_y = F.greatest(F.greatest("a_ymin", "b_ymin") - F.least("a_ymax", "b_ymax"), F.lit(0.0))
     gap_x = F.greatest(F.greatest("a_xmin", "b_xmin") - F.least("a_xmax", "b_xmax"), F.lit(0.0))
     gap = F.when(over & beside, 0.0).when(over, gap_y).when(beside, gap_x)
-    near = p.withColumn("gap", gap).filter(F.col("gap").isNotNull() & (F.abs(F.col("a_box") - F.col("b_box")) <= ranks))
+    near = p.withColumn("gap", gap).filter(F.col("gap").isNotNull())
     return near.groupBy(*page, "a_box").agg(F.min_by("b_box", F.struct("gap", "b_box")).alias("b_box"), F.min("gap").alias("gap"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,6 @@ from millrace.functions.text import collapse_blank, strip
 MEDIA = ("jpg", "jpeg", "png", "gif", "pdf", "mp4", "mp3", "avi", "mov", "xml")
 LINK = r"https?://[^\s)\]\"'<>]+"
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-MOST_ROUNDS = 100
 
 
 def links(text: Column) -> Column:
@@ -62,10 +63,10 @@ def html_text(c: Column) -> Column:
 
 
 def reachable(edges: DataFrame, start: DataFrame, source: str, target: str) -> DataFrame:
-    """(node, depth) of all nodes that can be reached, breadth first; each round joins only the newest nodes."""
+    """(node, depth) of all nodes that can be reached, breadth first; each round joins only the newest nodes; it ends when none is new."""
     seen = materialize(start.select(F.col(start.columns[0]).alias("node")).distinct().withColumn("depth", F.lit(0).cast("long")))
     front = seen
-    for depth in range(1, MOST_ROUNDS + 1):
+    for depth in count(1):
         nodes = front.select(F.col("node").alias(source))
         new = edges.join(nodes, source).select(F.col(target).alias("node")).distinct().join(seen, "node", "left_anti")
         front = materialize(new.withColumn("depth", F.lit(depth).cast("long")))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.runtime import shared_folder
+from millrace.functions.runtime import scratch_folder
 
 LATENESS = "7 days"
 
@@ -27,7 +27,7 @@ def daily_counts(events: DataFrame, lateness: str | None = LATENESS) -> DataFram
 
 def drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
     """Runs a stream over what is there, and gives its rows as written to the shared folder (the last row of a key counts)."""
-    base = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def keep(rows: DataFrame, batch: int) -> None:
         rows.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{base}/rows")

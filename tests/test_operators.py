@@ -160,3 +160,21 @@ def test_registry_without_the_llm_folder(monkeypatch):
     importlib.invalidate_caches()
     names = set(entry.queries())
     assert "p3_found" in names and "p1_found" not in names and set(entry.oracle_sql()) <= names
+
+
+def test_components_of_long_chains(spark):
+    from millrace.operators.graph import components
+
+    chain = [(f"n{k:03d}", f"k{k // 2 if k % 2 else k // 2}") for k in range(60)] + [(f"n{k:03d}", f"m{(k + 1) // 2}") for k in range(1, 59)]
+    rows = [*chain, ("x", "lone"), ("y", None), (None, "k0"), ("z", "hub"), *[(f"z{k}", "hub") for k in range(50)]]
+    got = {r.node: r.label for r in components(spark.createDataFrame(rows, "node string, key string")).collect()}
+    assert {got[f"n{k:03d}"] for k in range(60)} == {"n000"} and got["x"] == "x" and "y" not in got and got["z49"] == "z"
+    assert components(spark.createDataFrame([], "node string, key string")).count() == 0
+
+
+def test_reach_beyond_a_hundred_steps(spark):
+    from millrace.operators.web import reachable
+
+    edges = spark.createDataFrame([(k, k + 1) for k in range(104)], "a long, b long")
+    got = reachable(edges, spark.createDataFrame([(0,)], "a long"), "a", "b")
+    assert got.count() == 105 and got.agg({"depth": "max"}).first()[0] == 104
