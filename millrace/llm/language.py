@@ -49,7 +49,8 @@ LABEL_NAMES = {
 }
 
 _REFERENCE = re.compile(r"\s*(?:\[\d+\]|\(\d+\)\s+\p{Lu}\.|\d+\.\s+\p{Lu}\. \p{Lu})")
-_QUOTE = re.compile(r"“[^”\n]{0,600}”|„[^“”\n]{0,600}[“”]|«[^»\n]{0,600}»|»[^«\n]{0,600}«|「[^」\n]{0,600}」|(?<!\w)\"[^\"\n]{0,600}\"(?!\w)|(?<!\w)‘[^’\n]{0,600}’(?!\w)")
+# a quotation of any length on its line; as it holds no further opening mark, the search is linear
+_QUOTE = re.compile(r"“[^“”\n]*”|„[^„“”\n]*[“”]|«[^«»\n]*»|»[^«»\n]*«|「[^「」\n]*」|(?<!\w)\"[^\"\n]*\"(?!\w)|(?<!\w)‘[^‘’\n]*’(?!\w)")
 _END = standard.compile(r"(?<=[.!?])[\"”»]?\s+|(?<=[。！？])")
 _TERMINAL = ".!?。！？"
 _LINK = re.compile(r"https?://\S+")

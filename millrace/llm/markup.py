@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,11 +32,29 @@ TAGS = (
     "menu meta mfrac mi mn mo mrow msqrt msub msubsup msup mtable mtd mtext mtr nav noscript ol option p pre q s samp script section select "
     "small source span strike strong style sub summary sup svg table tbody td textarea tfoot th thead time title tr tt u ul var video wbr"
 )
-# Greek letters and signs named by LaTeX commands.
+# Signs named by LaTeX commands, besides the Greek letters.
 SYMBOLS = {
-    "alpha": "α", "beta": "β", "gamma": "γ", "delta": "δ", "epsilon": "ε", "theta": "θ", "lambda": "λ", "mu": "μ", "pi": "π", "rho": "ρ",
-    "sigma": "σ", "tau": "τ", "phi": "φ", "omega": "ω", "times": "×", "leq": "≤", "geq": "≥", "pm": "±", "cdot": "·", "ldots": "…", "infty": "∞",
+    "times": "×", "leq": "≤", "le": "≤", "geq": "≥", "ge": "≥", "pm": "±", "mp": "∓", "cdot": "·", "ldots": "…", "dots": "…", "infty": "∞", "partial": "∂", "nabla": "∇",
+    "neq": "≠", "approx": "≈", "sim": "∼", "propto": "∝", "equiv": "≡", "to": "→", "rightarrow": "→", "leftarrow": "←", "in": "∈", "sum": "∑", "prod": "∏", "int": "∫", "circ": "∘",
+    "degree": "°", "ell": "ℓ", "hbar": "ℏ", "forall": "∀", "exists": "∃", "cup": "∪", "cap": "∩", "subset": "⊂", "textbackslash": "\\", "S": "§", "P": "¶", "ss": "ß", "o": "ø", "ae": "æ",
 }
+# Commands that set type or space and stand for no text.
+LAYOUT = frozenset(
+    "centering raggedright raggedleft noindent indent newline linebreak pagebreak newpage clearpage par quad qquad hfill vfill smallskip medskip bigskip hline toprule midrule "
+    "bottomrule tiny scriptsize footnotesize small normalsize large Large LARGE huge Huge bf it em tt sc rm sl bfseries itshape ttfamily scshape rmfamily upshape mdseries nonumber "
+    "maketitle tableofcontents protect relax displaystyle textstyle limits nolimits left right".split()
+)
+
+
+def _greek(name: str) -> str | None:
+    """The Greek letter a command names, var forms too; a capital if its name begins with one."""
+    plain = name.removeprefix("var")
+    spelt = {"lambda": "lamda"}.get(plain.lower(), plain.lower())
+    try:
+        return unicodedata.lookup(f"GREEK {'CAPITAL' if plain[:1].isupper() else 'SMALL'} LETTER {spelt.upper()}")
+    except KeyError:
+        return None
+
 
 _TAG = re.compile(rf"</?(?:{'|'.join(TAGS.split())})(?:\s[^<>]*)?/?>", re.I)
 _COMMENT = re.compile(r"<!--.*?-->|<!DOCTYPE[^>]*>|<!\[CDATA\[|\]\]>", re.S | re.I)
@@ -157,9 +176,11 @@ def _from_html(text: str, store: _Store) -> str:
         flags=re.S | re.I,
     )
     text = re.sub(r"<math\b[^>]*>(.*?)</math>", lambda m: store.put("$" + html.unescape(re.sub(r"<[^>]+>", "", m.group(1))).strip() + "$"), text, flags=re.S | re.I)
-    for _ in range(2):
-        if "&" in text and _ENTITY.search(text):
-            text = _ENTITY.sub(lambda m: html.unescape(m.group()), text)
+    while "&" in text:  # written over and over, entities are read until none is left
+        new = _ENTITY.sub(lambda m: html.unescape(m.group()), text)
+        if new == text:
+            break
+        text = new
     text = text.replace("\u00ad", "").replace("\u00a0", " ")
     text = re.sub(r"<h([1-6])\b[^>]*>\s*", lambda m: "\n" + "#" * int(m.group(1)) + " ", text, flags=re.I)
     text = re.sub(r"\s*<li\b[^>]*>\s*", "\n- ", text, flags=re.I)
@@ -239,12 +260,12 @@ def _from_latex(text: str, store: _Store) -> str:
     text = re.sub(r"~?\\(?:eq|auto|page)?ref\{(?:[a-z]+:)?([^{}]*)\}", r" \1", text)
     text = re.sub(r"\\footnote\{([^{}]*)\}", r" (\1)", text)
     text = re.sub(r"\{\\(?:it|bf|em|tt|sc|rm|sl)\b[ \t]*([^{}]*)\}", r"\1", text)
-    for _ in range(4):  # nested arguments from the inside out
+    while True:  # nested arguments from the inside out
         new = re.sub(r"\\[A-Za-z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", text)
         if new == text:
             break
         text = new
-    text = re.sub(r"\\([A-Za-z]+)\b", lambda m: SYMBOLS.get(m.group(1), ""), text)
+    text = re.sub(r"\\([A-Za-z]+)\b", lambda m: "" if m.group(1) in LAYOUT else SYMBOLS.get(m.group(1)) or _greek(m.group(1)) or m.group(), text)
     text = re.sub(r"\\[,;]", " ", text)
     return re.sub(r"\\([%&#_{}$])", r"\1", text)
 

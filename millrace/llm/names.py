@@ -9,7 +9,7 @@ are joined to each other by metric-space partitioning: every surname is assigned
 pivot, copied to the pivots that the triangle inequality cannot rule out for the radius, and compared
 within the cells by Levenshtein distance. A rare form is a misspelling of a frequent one in its
 radius. Mentions of one surname, initial and place are one person; shared email addresses and ORCIDs
-tie them across places (connected components by minimum labels); mentions without a place go to the
+tie them across places (connected components); mentions without a place go to the
 only person their name fits.
 
 Null names are linked by email or ORCID only; null organisations are not resolved; copies of a mention
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.runtime import broadcast_if_small, materialize
 from millrace.llm.name_parts import TITLES, Register, fold, read_person
+from millrace.operators.graph import components
 from millrace.sources.tables import columns_or_null, table
 
 RADIUS = 2
@@ -34,13 +35,16 @@ RADIUS = 2
 SUPPORT_RATIO = 5
 #: A form so rare may be one of a form of like support, if the given names agree.
 RARE_FORM = 2
-#: Names per pivot, and most pivots of a cell.
-PIVOT_NAMES, MOST_PIVOTS = 64, 256
+#: Names per pivot in smaller cells; a cell of n names has at most PIVOT_ROOTS times the root of n pivots, so that work grows as n to 1.5.
+PIVOT_NAMES, PIVOT_ROOTS = 64, 2.0
+#: Parts that the names of a cell are spread over to meet the pivots.
+PIVOT_SALT = 16
+#: Names and organisations whose reading a task remembers.
+REMEMBERED = 50_000
 #: A token is a given name if it opens at least this share of names (and at least LEAST_GIVEN).
 GIVEN_SHARE, LEAST_GIVEN = 0.0005, 4
 #: Same names in two places are one person only if most such pairs with known addresses are.
 SAME_SHARE = 0.6
-MOST_ROUNDS = 12
 
 _COLUMNS = {
     "mention_id": "long", "full_name": "string", "given_name": "string", "middle_name": "string", "surname": "string", "email": "string", "orcid": "string",
@@ -51,7 +55,7 @@ _COLUMNS = {
 def radius_join(names: DataFrame, group: list[str], name: str, radius: int = RADIUS, others: DataFrame | None = None) -> DataFrame:
     """(group, name, other, distance): all ordered pairs of different names of a group within the radius; ``other`` is of ``others`` if given.
 
-    Metric-space partitioning. Pivots are names with the smallest hashes, more in larger groups. With p the
+    Metric-space partitioning. Pivots are names with small hashes, more in larger groups. With p the
     home (nearest) pivot of y, a name x within the radius of y has d(x, p) <= d(y, p) + r <= d(y, q) + r <= d(x, q) + 2 r
     for every pivot q; so x is copied to each pivot within 2 r of its nearest, and no pair is lost.
     """
@@ -59,11 +63,14 @@ def radius_join(names: DataFrame, group: list[str], name: str, radius: int = RAD
     if others is not None:
         asked = asked.union(others.select(*group, F.col(name).alias("name"), F.lit(False), F.lit(True)))
     distinct = asked.groupBy(*group, "name").agg(F.max("asks").alias("asks"), F.max("answers").alias("answers"))
-    sizes = distinct.groupBy(*group).agg(F.least(F.lit(MOST_PIVOTS), F.ceil(F.count("*") / PIVOT_NAMES)).alias("n_pivots"))
-    rank = F.row_number().over(W.partitionBy(*group).orderBy(F.xxhash64("name"), "name"))
-    ranked = distinct.withColumn("pivot_no", rank).filter(F.col("pivot_no") <= MOST_PIVOTS)
-    pivots = ranked.join(sizes, group).filter(F.col("pivot_no") <= F.col("n_pivots")).select(*group, "pivot_no", F.col("name").alias("pivot"))
-    spread = distinct.join(pivots, group).select(*group, "name", "asks", "answers", "pivot_no", F.levenshtein("name", "pivot").alias("d"))
+    digest = F.pmod(F.xxhash64("name"), F.lit(1 << 30))
+    sizes = distinct.groupBy(*group).agg(F.count("*").alias("n_names"), F.min_by("name", F.struct(digest, "name")).alias("one"))
+    sizes = sizes.withColumn("n_pivots", F.least(F.ceil(F.lit(PIVOT_ROOTS) * F.sqrt("n_names")), F.ceil(F.col("n_names") / PIVOT_NAMES)))
+    drawn = digest * F.col("n_names") < F.col("n_pivots") * F.lit(1 << 30)  # about n_pivots names, without ranking a cell
+    pivots = distinct.join(sizes, group).filter(drawn | (F.col("name") == F.col("one"))).select(*group, F.col("name").alias("pivot"))
+    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PIVOT_SALT - 1))))
+    salted = distinct.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(PIVOT_SALT)).cast("int"))
+    spread = salted.join(pivots, [*group, "salt"]).select(*group, "name", "asks", "answers", F.col("pivot").alias("pivot_no"), F.levenshtein("name", "pivot").alias("d"))
     per = W.partitionBy(*group, "name")
     placed = spread.withColumn("least", F.min("d").over(per)).filter(F.col("d") <= F.col("least") + 2 * radius)
     placed = placed.withColumn("home", F.row_number().over(per.orderBy("d", "pivot_no")) == 1)
@@ -96,6 +103,10 @@ def _reader(units: list[tuple], givens: frozenset[str]):
         for batch in batches:
             out: list[tuple] = []
             for mid, full, _, _, _, email, orcid, inst, dept, town in zip(*(c.to_pylist() for c in batch.columns)):
+                if len(names) > REMEMBERED:
+                    names.clear()
+                if len(orgs) > REMEMBERED:
+                    orgs.clear()
                 if full not in names:
                     names[full] = tuple(read_person(full, givens) or (None,) * 5)
                 key = (inst, town)
@@ -119,8 +130,6 @@ def _reader(units: list[tuple], givens: frozenset[str]):
             columns = list(zip(*out)) if out else [()] * len(_PARSED)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t, _) in zip(columns, _PARSED)], names=[n for n, *_ in _PARSED])
 
-        names.clear()
-
     return run
 
 
@@ -182,23 +191,6 @@ def spelled_anywhere(people: DataFrame, stray: DataFrame, placed: DataFrame) ->
     return best.filter("x.n_right = 1").select("surname", "initial", "x.right")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) for a bipartite table of node and key: nodes that share keys, in chains, get the least node's label.
-
-    Each round is two partial aggregations; lineage is cut by a written table; it ends when no label changes.
-    """
-    edges = materialize(edges.distinct())
-    labels = materialize(edges.select("node", F.col("node").alias("label")).distinct())
-    for _ in range(MOST_ROUNDS):
-        by_key = edges.join(labels, "node").groupBy("key").agg(F.min("label").alias("least"))
-        best = edges.join(by_key, "key").groupBy("node").agg(F.min("least").alias("least"))
-        new = materialize(labels.join(best, "node").select("node", F.least("label", "least").alias("label"), (F.col("least") < F.col("label")).alias("moved")))
-        labels = new.select("node", "label")
-        if new.filter("moved").isEmpty():
-            break
-    return labels
-
-
 def link_people(parsed: DataFrame) -> DataFrame:
     """(mention_id, person): mentions of one person share the number."""
     right = spelled_right(parsed)

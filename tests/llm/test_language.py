@@ -61,3 +61,11 @@ def test_documents_segments_and_cases(spark, fitted):
     both = docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang")).union(spark.createDataFrame(train, "doc_id long, text string, lang string"))
     cases = {(r.doc_id, r.lang) for r in mislabelled(both, labels).filter("doc_id < 100").collect()}
     assert cases == {(1, "en"), (2, "en"), (2, "fr"), (6, "fr")}
+
+
+def test_long_quotations_are_no_sentences():
+    from millrace.llm.language import sentences
+
+    quoted = "Das ist ein langer Satz aus einer anderen Quelle. " * 60
+    for a, b in ("“”", "„“", "«»", "»«", '""'):
+        assert sentences(f"The plain text says little about it. They wrote {a}{quoted}{b} and went on.") == ["The plain text says little about it.", "They wrote   and went on."]

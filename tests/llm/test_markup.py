@@ -57,3 +57,15 @@ def test_table_of_awkward_rows(spark):
     got = sorted((r.element_id or 0, tuple(r.families), r.clean_text is None) for r in clean_elements(df).collect())
     assert got == [(0, (), False), (1, ("html",), False), (1, ("html",), False), (2, (), True), (3, ("markdown",), False)]
     assert markup_families(df.limit(0)).count() == 0
+
+
+def test_depth_and_unknown_commands_lose_nothing():
+    deep = "x"
+    for k in range(40):
+        deep = f"\\text{'bf' if k % 2 else 'it'}{{a{k} {deep}}}"
+    assert clean_markup(deep).split() == [*[f"a{k}" for k in range(39, -1, -1)], "x"]
+    written = "<i>"
+    for _ in range(7):
+        written = written.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    assert clean_markup(f"a {written}b").split() == ["a", "b"]
+    assert clean_markup("The value \\xi and \\partial f of \\Lambda, \\mystery{z} and \\odd \\noindent t") == "The value ξ and ∂ f of Λ, z and \\odd t"
