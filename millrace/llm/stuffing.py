@@ -1,13 +1,14 @@
 """Keyword-stuffed and link-list pages (p10) by robust Mahalanobis distance per language.
 
-Each text gives six features: link share, mark density (tags and list separators), word entropy,
-share of stuffed words, function-word share and share of words outside sentences. Per language a
-robust centre and scale (median, MAD) and one reweighting step give a location and covariance.
-A page whose squared distance exceeds a chi-square quantile and whose deviation points the spam way
-is a candidate; an exact check keeps those of which most characters are stuffed keywords, tags,
-links or offers. Words in loops (a phrase repeated back to back) are broken generation, not stuffing.
-
-Null, blank and very short texts have no spam characters and are never flagged; repeated rows give
+Each text gives six features: the density of characters in links with their captions, tags, stuffed clauses and
+priced goods; mark density (tags and list separators); word entropy; repetition (share of stuffed words);
+function-word share; and share of words outside sentences. Per language a robust centre and scale (median, MAD)
+and one reweighting step give a location and covariance; languages of under LEAST_PAGES pages take those of
+all pages. A page is found if its squared distance exceeds the chi-square quantile OUTLIER and its deviation
+points the spam way: as a whole (cosine with the spam direction in the metric of the covariance) and in the
+density. Words in loops (a phrase repeated back to back) are broken generation, not stuffing.
+
+Null and blank texts have no spam characters and are never flagged; repeated rows give
 repeated rows; an empty table gives an empty result.
 """
 
@@ -41,8 +42,10 @@ HAN_FUNCTION = "的了在是与和对被把从也而但并"
 #: The features that grow with spam, and those that shrink.
 SPAM_SIGN = (1.0, 1.0, -1.0, 1.0, -1.0, 1.0)
 #: Least scale of each feature, where most pages share one value.
-SCALE_FLOOR = (0.02, 0.02, 0.02, 0.03, 0.03, 0.05)
-CHI_SQUARE_6 = {0.90: 10.645, 0.975: 14.449}
+SCALE_FLOOR = (0.1, 0.1, 0.1, 0.1, 0.1, 0.2)
+#: Chi-square quantiles of six features: for the pages that make the location, and for outliers (one in a million).
+INNER, OUTLIER = 14.449, 38.258
+LEAST_COSINE, LEAST_PAGES = 0.2, 30
 STUFFED_UNIT, SPAM_SHARE = 0.4, 0.5
 DIMS = len(SPAM_SIGN)
 
@@ -103,8 +106,10 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
     bare = _LINK.sub(" ", low) if links else low
     words = _WORD.findall(bare)
     n = len(words)
-    if n + len(links) < 5 or not size:
-        return None, (0.0, 0.0, 1.0, 0.0, 0.3, 0.0), 0.0
+    if n + len(links) < 5 or not size:  # too short for statistics, but may be two links, tags or goods
+        several = len(links) > 1 or text.count("#") > 1 or any(c in text for c in _CURRENCIES)
+        spam = _spam_share(text, set(), set()) if size and several else 0.0
+        return None, (spam, 0.0, 1.0 - spam, spam, 0.3 * (1 - spam), spam), spam
     hits: Counter = Counter()
     counts = Counter(words)
     function = 0
@@ -160,41 +165,50 @@ def page_features(text: str | None) -> tuple[str | None, tuple[float, ...], floa
     entropy = float(-(freq * np.log(freq)).sum() / math.log(n)) if n > 1 else 1.0
     listed |= stuffed
     share = float(stuffed.mean()) if n else 0.0
-    link_share = sum(b - a for a, b in links) / size
     function_share = function / max(n, 1)
+    # without a listed word, a link, two tags and a price no line can count
     spam = 0.0
-    # spam parts have STUFFED_UNIT of their words stuffed, or are items of up to six words, half of them listed
-    cuts = sum(text.count(c) for c in ",;|/·•»›、，；\n")
-    if share > 0.7 * STUFFED_UNIT * SPAM_SHARE or n and 6 * cuts > 0.4 * n and float(listed.mean()) > 0.15 or len(links) >= 3 or len(tags) >= 5 or any(c in text for c in _CURRENCIES):
+    if listed.any() or links or len(tags) >= 2 or any(c in text for c in _CURRENCIES):
         spam = _spam_share(text, {words[i] for i in np.flatnonzero(stuffed)}, {words[i] for i in np.flatnonzero(listed)})
     outside = 1.0 - min(1.0, function_share / 0.25)
-    return lang, (link_share, marks / max(n + len(links), 1), entropy, share, function_share, outside), spam
+    return lang, (spam, marks / max(n + len(links), 1), entropy, share, function_share, outside), spam
 
 
 def _spam_share(text: str, stuffed: set[str], listed: set[str]) -> float:
     """Share of characters in links with their captions, tags and stuffed clauses."""
     total = spam = 0
+    linked = "://" in text or _DOTTED.search(text) is not None
+    priced = any(c in text for c in _CURRENCIES)
+    # a sentence counts by a stuffed word or two listed ones, so one in which no such word stands is passed over
+    named = standard.compile("|".join(map(standard.escape, sorted(listed)))) if listed else None
     for line in text.split("\n"):
         line = line.strip()
         if not line:
             continue
         total += len(line)
-        if _EXEMPT.match(line) and not _LINK.search(line):
+        has_tags = "#" in line
+        if not (linked or priced or has_tags) and (named is None or not named.search(line.lower())):
             continue
-        flat = _MARKDOWN_LINK.sub(r"\1 http://x.example", line)
-        links = list(_LINK.finditer(flat))
-        if links:
+        found = linked and _LINK.search(line)
+        if not found and _EXEMPT.match(line):
+            continue
+        flat = _MARKDOWN_LINK.sub(r"\1 http://x.example", line) if "](" in line else line
+        if found or flat is not line and _LINK.search(flat):
             spam += _linked_chars(line, flat, stuffed, listed)
             continue
-        tags = _TAG.findall(line)
+        tags = _TAG.findall(line) if has_tags else []
         if len(tags) >= 2:
             spam += sum(map(len, tags)) + len(tags)
             line = _TAG.sub(" ", line)
-        if _PRICE.search(line) and line[-1] not in ".!?" and len(_WORD.findall(line)) <= 10:
+        if priced and _PRICE.search(line) and line[-1] not in ".!?" and len(_WORD.findall(line)) <= 10:
             spam += len(line)  # a good with its price
             continue
+        if named is None:
+            continue
         for sentence in _SENTENCE.split(line):
-            spam += _keyword_chars(sentence, stuffed, listed)
+            low = sentence.lower()
+            if named.search(low):
+                spam += _keyword_chars(sentence, low, stuffed, listed)
     return spam / total if total else 0.0
 
 
@@ -206,7 +220,7 @@ def _linked_chars(line: str, flat: str, stuffed: set[str], listed: set[str]) ->
         words = _WORD.findall(_LINK.sub(" ", part).lower())
         m = list(_LINK.finditer(part))
         if not m:
-            spam += _keyword_chars(part, stuffed, listed)
+            spam += _keyword_chars(part, part.lower(), stuffed, listed)
             continue
         ends = part.rstrip()
         in_sentence = _sentence_like(words) and m[-1].end() < len(ends) - 3 and ends[-1:] in ".!?" and m[0].start() > 8
@@ -217,9 +231,9 @@ def _linked_chars(line: str, flat: str, stuffed: set[str], listed: set[str]) ->
     return min(spam, len(line))
 
 
-def _keyword_chars(sentence: str, stuffed: set[str], listed: set[str]) -> int:
+def _keyword_chars(sentence: str, low: str, stuffed: set[str], listed: set[str]) -> int:
     """Characters of the clauses that are stuffed keywords, or of the whole sentence if most of it is."""
-    words = _WORD.findall(sentence.lower())
+    words = _WORD.findall(low)
     if not words:
         return 0
     hit = sum(w in stuffed for w in words)
@@ -248,14 +262,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [page_features(t) for t in batch.column(2).to_pylist()]
         lang = [g[0] or given or "en" for g, given in zip(got, batch.column(1).to_pylist())]
         x = np.array([g[1] for g in got], float).reshape(-1, DIMS)
-        columns = [batch.column(0), pa.array(lang, pa.string()), *(pa.array(x[:, j]) for j in range(DIMS)), pa.array([g[2] for g in got], pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "language", *(f"x{j}" for j in range(DIMS)), "spam_share"])
+        columns = [batch.column(0), pa.array(lang, pa.string()), *(pa.array(x[:, j]) for j in range(DIMS))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "language", *(f"x{j}" for j in range(DIMS))])
 
 
 def spam_features(documents: DataFrame) -> DataFrame:
+    """doc_id, language and the six features x0 (density) to x5; one narrow pass."""
     df = columns_or_null(documents, {"doc_id": "long", "lang": "string", "text": "string"})
-    schema = "doc_id long, language string, " + ", ".join(f"x{j} double" for j in range(DIMS)) + ", spam_share double"
-    return df.mapInArrow(_features, schema)
+    return df.mapInArrow(_features, "doc_id long, language string, " + ", ".join(f"x{j} double" for j in range(DIMS)))
 
 
 def robust_location(features: DataFrame) -> DataFrame:
@@ -273,7 +287,7 @@ def robust_location(features: DataFrame) -> DataFrame:
     z2 = sum(
         ((F.col(x) - F.col(f"m{j}")) / F.greatest(F.col(f"s{j}") * 1.4826, F.lit(SCALE_FLOOR[j]))) ** 2 for j, x in enumerate(xs)
     )
-    inner = scaled.filter(z2 <= CHI_SQUARE_6[0.975])
+    inner = scaled.filter(z2 <= INNER)
     products = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
     sums = inner.groupBy("language").agg(
         F.count("*").alias("n"),
@@ -299,20 +313,26 @@ def robust_location(features: DataFrame) -> DataFrame:
 
 
 def spam_scores(documents: DataFrame) -> DataFrame:
-    """doc_id, language, distance (squared), direction, spam_share and flagged, for every document."""
+    """doc_id, language, distance (squared), direction (cosine), spam_share (the density) and flagged, for every document."""
     features = materialize(spam_features(documents))
-    location = robust_location(features)
-    scored = features.join(F.broadcast(location), "language", "left")
+    own = robust_location(features).filter(F.col("n") >= LEAST_PAGES)
+    every = robust_location(features.withColumn("language", F.lit("*")))
+    places = ("centre", "inverse", "scale")
+    scored = features.join(F.broadcast(own), "language", "left").join(
+        F.broadcast(every.select(*[F.col(c).alias(f"{c}_all") for c in places])), F.lit(True), "left"  # one row, or none
+    )
+    scored = scored.withColumns({c: F.coalesce(c, f"{c}_all") for c in places})
     dev = [F.col(f"x{j}") - F.element_at("centre", j + 1) for j in range(DIMS)]
-    d2 = sum(dev[i] * dev[j] * F.element_at("inverse", i * DIMS + j + 1) for i in range(DIMS) for j in range(DIMS))
-    direction = sum(F.lit(SPAM_SIGN[j]) * dev[j] / F.element_at("scale", j + 1) for j in range(DIMS))
-    out = scored.select("doc_id", "language", d2.alias("distance"), direction.alias("direction"), "spam_share")
-    return out.withColumn("flagged", (F.col("distance") > CHI_SQUARE_6[0.90]) & (F.col("direction") > 0))
+    toward = [SPAM_SIGN[j] * F.element_at("scale", j + 1) for j in range(DIMS)]
+    form = lambda u, v: sum(u[i] * v[j] * F.element_at("inverse", i * DIMS + j + 1) for i in range(DIMS) for j in range(DIMS))
+    scored = scored.select("doc_id", "language", F.col("x0").alias("spam_share"), form(dev, dev).alias("distance"), form(dev, toward).alias("along"), form(toward, toward).alias("norm"), (dev[0] / F.element_at("scale", 1)).alias("denser"))
+    cosine = F.col("along") / F.sqrt(F.greatest(F.col("distance") * F.col("norm"), F.lit(1e-12)))
+    out = scored.select("doc_id", "language", "distance", cosine.alias("direction"), "spam_share", "denser")
+    return out.withColumn("flagged", (F.col("distance") > OUTLIER) & (F.col("direction") > LEAST_COSINE) & (F.col("denser") > 1)).drop("denser")
 
 
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
-    scores = spam_scores(table(spark, root, "documents"))
-    return scores.filter(F.col("flagged") & (F.col("spam_share") > SPAM_SHARE)).select("doc_id").distinct()
+    return spam_scores(table(spark, root, "documents")).filter("flagged").select("doc_id").distinct()
 
 
 def p10_scores(spark: SparkSession, root: str) -> DataFrame:

@@ -54,3 +54,10 @@ def test_location_is_robust(spark):
     clean = robust_location(spam_features(df.filter("doc_id < 100"))).first()
     mixed = robust_location(spam_features(df)).filter("language = 'en'").first()
     assert max(abs(a - b) for a, b in zip(clean.centre, mixed.centre)) < 0.05
+
+
+def test_distance_alone_decides_and_no_short_page_is_passed_over(spark):
+    short = {300: "www.a-shop.example www.b-shop.example", 301: "#tea_one #tea_two #tea_three", 302: "Desk lamp JPY 5", 303: "see www.a.example"}
+    rows = [(i, "en", prose(i)) for i in range(200)] + [(k, "en", t) for k, t in short.items()] + [(400, "nl", keywords(9)), (401, "en", prose(7) * 9), (402, "en", prose(8) + " near neutral" * 200)]
+    found = {r.doc_id for r in spam_scores(spark.createDataFrame(rows, "doc_id long, lang string, text string")).filter("flagged").collect()}
+    assert found == {300, 301, 400}
