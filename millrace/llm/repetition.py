@@ -4,9 +4,14 @@ A word is an unbroken run of letters, case ignored. A window is five consecutive
 repeated if the same five words start earlier in the text. A word is a repeat if it lies in a
 repeated window. ``word_share`` is the share of such words, ``window_share`` that of repeated windows.
 
-Cutoffs on ``window_share`` are chosen per stratum from labelled holdout counts: the lowest value of
-a fixed grid at which the rate of false rejections is below ``max_risk`` by an exact
-(Clopper-Pearson) bound, with the error level split over all strata and grid values (Bonferroni).
+Documents are screened by ``window_share``, for which windows are compared by hashes, before the exact share is
+taken with the windows themselves. The cutoff of the screen is risk-controlled per stratum (source): a screened-out
+case is a false rejection; of a labelled holdout (the documents whose hashed ids are even, labelled by the
+exact share) the cases are counted that each cutoff of a fixed grid would reject; the cutoff taken is the
+highest up to which none is rejected and an exact (Clopper-Pearson) bound keeps the rate at or below ``max_risk``,
+with the error level split over all strata and grid values (Bonferroni). A stratum that certifies no value of
+the grid has the cutoff FLOOR, below which no case can lie by proof. The other half of the documents tells
+how many cases were rejected in truth (``p4_cutoffs``).
 
 Null, empty and short texts (under five words) have share 0. Repeated rows are measured each. An
 empty table gives an empty result.
@@ -20,17 +25,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.runtime import materialize
+from millrace.functions.runtime import broadcast_if_small, materialize
 from millrace.sources.tables import columns_or_null, table
 
 WINDOW = 5
 CASE_SHARE = 0.30
 #: A text with word_share of CASE_SHARE has at least this window_share: each repeated window covers at most five words.
 FLOOR = CASE_SHARE / WINDOW
-GRID = tuple(round(0.02 * i, 2) for i in range(1, 16))
+GRID = tuple(round(FLOOR + 0.02 * i, 2) for i in range(13))
 MAX_RISK, LEVEL = 0.02, 0.05
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -104,17 +109,37 @@ def _beta_share(a: float, b: float, x: float) -> float:
     return front * total / a
 
 
+def exact_share(text: str | None) -> tuple[int, int]:
+    """Words and repeated words of one text, by the windows themselves."""
+    words = [w.lower() for w in _LETTERS.findall(text or "")]
+    seen: set[tuple[str, ...]] = set()
+    n_repeat = end = 0  # words before ``end`` are counted
+    for k in range(len(words) - WINDOW + 1):
+        window = tuple(words[k : k + WINDOW])
+        if window in seen:
+            n_repeat += k + WINDOW - max(k, end)
+            end = k + WINDOW
+        else:
+            seen.add(window)
+    return len(words), n_repeat
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = np.array([exact_share(t) for t in batch.column(1).to_pylist()], np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts[:, 0]), pa.array(counts[:, 1])], names=["doc_id", "n_words", "n_repeat"])
+
+
 def controlled_cutoffs(labelled: DataFrame, max_risk: float = MAX_RISK, level: float = LEVEL) -> DataFrame:
-    """(stratum, cutoff, n_kept, n_false): the lowest certified cutoff per stratum; the highest grid value if none is certified.
+    """(stratum, cutoff, certified, n_cases, bound): the screen's cutoff per stratum.
 
-    ``labelled``: stratum, window_share and the label is_case. Counts are taken over all rows by partial
-    aggregation; what reaches the driver is one row per stratum and grid value.
+    ``labelled``: stratum, window_share and the label is_case, of the holdout. Counts are taken over all rows by
+    partial aggregation; what is gathered is one row per stratum. ``bound`` is the upper bound of the share of cases
+    that the cutoff rejects, at the level split over all tests.
     """
-    counts = (
-        labelled.filter(~F.col("is_case"))
-        .groupBy("stratum")
-        .agg(F.count("*").alias("n_kept"), *[F.count(F.when(F.col("window_share") >= c, 1)).alias(f"f{i}") for i, c in enumerate(GRID)])
-        .select("stratum", "n_kept", F.array(*[f"f{i}" for i in range(len(GRID))]).alias("n_false"))
+    counts = labelled.groupBy("stratum").agg(
+        F.count_if("is_case").alias("n_cases"),
+        F.array(*[F.count_if(F.col("is_case") & (F.col("window_share") < c)) for c in GRID]).alias("n_lost"),
     )
 
     def choose(frames):
@@ -122,32 +147,40 @@ def controlled_cutoffs(labelled: DataFrame, max_risk: float = MAX_RISK, level: f
 
         for frame in frames:
             rows = []
-            for stratum, n, false, tests in zip(frame["stratum"], frame["n_kept"], frame["n_false"], frame["tests"]):
-                sure = [c for c, k in zip(GRID, false) if binomial_cdf(int(k), int(n), max_risk) <= level / tests]
-                pick = min(sure, default=GRID[-1])
-                rows.append((stratum, pick, int(n), int(false[GRID.index(pick)])))
-            yield pd.DataFrame(rows, columns=["stratum", "cutoff", "n_kept", "n_false"])
+            for stratum, n, lost, tests in zip(frame["stratum"], frame["n_cases"], frame["n_lost"], frame["tests"]):
+                sure = [c for c, k in zip(GRID, lost) if k == 0 and binomial_cdf(0, int(n), max_risk) <= level / tests]
+                bound = 1 - (level / tests) ** (1 / n) if n else 1.0
+                rows.append((stratum, max(sure, default=FLOOR), bool(sure), int(n), bound if sure else 0.0))
+            yield pd.DataFrame(rows, columns=["stratum", "cutoff", "certified", "n_cases", "bound"])
 
     tests = counts.agg((F.count("*") * len(GRID)).alias("tests"))
-    return counts.crossJoin(F.broadcast(tests)).mapInPandas(choose, "stratum string, cutoff double, n_kept long, n_false long")
+    return counts.crossJoin(F.broadcast(tests)).mapInPandas(choose, "stratum string, cutoff double, certified boolean, n_cases long, bound double")
+
+
+def in_holdout(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(2)) == 0
+
+
+def screened(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The measures of all documents with ``cutoff`` and ``kept`` (not screened out), and the cutoffs."""
+    measured = materialize(measure_repetition(documents)).withColumn("is_case", F.col("word_share") >= CASE_SHARE)
+    cutoffs = materialize(controlled_cutoffs(measured.filter(in_holdout(F.col("doc_id")))))
+    # a stratum without a holdout row is certified by none
+    joined = measured.join(F.broadcast(cutoffs.select("stratum", "cutoff")), "stratum", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(FLOOR)))
+    return joined.withColumn("kept", F.col("window_share") >= F.col("cutoff")), cutoffs
 
 
 def flag_repetition(documents: DataFrame) -> DataFrame:
-    """Measures with the stratum's certified cutoff and ``flagged`` (window_share at or above it)."""
-    measured = materialize(measure_repetition(documents))
-    cutoffs = controlled_cutoffs(measured.withColumn("is_case", F.col("word_share") >= CASE_SHARE))
-    return measured.join(cutoffs.select("stratum", "cutoff"), "stratum", "left").select(
-        "doc_id", "stratum", "n_words", "n_repeat", "word_share", "window_share",
-        F.coalesce("cutoff", F.lit(GRID[-1])).alias("cutoff"),
-        (F.col("window_share") >= F.coalesce("cutoff", F.lit(GRID[-1]))).alias("flagged"),
-    )
+    """(doc_id, n_words, n_repeat, word_share): the exact measure of every document that the screen keeps."""
+    kept = screened(documents)[0].filter("kept").select("doc_id").distinct()
+    texts = columns_or_null(documents, {"doc_id": "long", "text": "string"}).join(broadcast_if_small(materialize(kept)), "doc_id", "left_semi")
+    exact = texts.mapInArrow(_exact, "doc_id long, n_words long, n_repeat long")
+    return exact.withColumn("word_share", F.col("n_repeat") / F.greatest("n_words", F.lit(1)))
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     flagged = flag_repetition(table(spark, root, "documents"))
-    # candidates by the cutoff, held at or below the value that no case can miss; then the exact share
-    near = flagged.filter(F.col("window_share") >= F.least("cutoff", F.lit(FLOOR)))
-    return near.filter(F.col("word_share") >= CASE_SHARE).select("doc_id").distinct()
+    return flagged.filter(F.col("word_share") >= CASE_SHARE).select("doc_id").distinct()
 
 
 def p4_shares(spark: SparkSession, root: str) -> DataFrame:
@@ -157,8 +190,12 @@ def p4_shares(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p4_cutoffs(spark: SparkSession, root: str) -> DataFrame:
-    measured = materialize(measure_repetition(table(spark, root, "documents")))
-    return controlled_cutoffs(measured.withColumn("is_case", F.col("word_share") >= CASE_SHARE))
+    """The cutoffs with what they do on the half of the documents that is not the holdout: cases, cases rejected, others kept."""
+    rows, cutoffs = screened(table(spark, root, "documents"))
+    test = rows.filter(~in_holdout(F.col("doc_id"))).groupBy("stratum").agg(
+        F.count_if("is_case").alias("n_test_cases"), F.count_if(F.col("is_case") & ~F.col("kept")).alias("n_test_rejected"), F.count_if(~F.col("is_case") & F.col("kept")).alias("n_test_others_kept"),
+    )
+    return cutoffs.join(test, "stratum", "left")
 
 
 _SQL_WORDS = r"""
