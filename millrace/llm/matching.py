@@ -1,17 +1,16 @@
 """Matching records of two tables without a common key (p7): BM25 retrieval over all attributes.
 
 Every record becomes a bag of terms: title words, author words, venue prefixes, year, page range, volume.
-Term weights are BM25's inverse document frequencies over both tables. Candidates come from an inverted
-index whose postings are conjunctions of a record's rarest terms: two records that agree in most of
-their weight share at least one, and a conjunction of rare terms has a short posting list, which is
-what prunes the search. What they miss is found by an exact search over the postings of single terms, from
-both sides: a record's best rating so far tells which of its heaviest terms a better pair must share one of
-(all terms, for a record without candidates), and pairs that cannot reach TIE of the best are dropped by bounds.
-So the best rating of every record and all its ties are exact over all pairs; a second below TIE is the best one seen.
-A citation must be near the best of the outside record as well (several citations may be
-of one work, so nearness is relative to the record's best score). Confidence is a logistic function of
-score, gap and agreement, fitted on a bounded sample (SAMPLE_PAIRS) of clear cases. An exact check of
-titles, part markers and page ranges follows.
+Term weights are BM25's inverse document frequencies over both tables; the score of a pair is the weight of the
+terms they share, with BM25's saturation and length normalisation for the outside record. Retrieval is exact:
+an inverted index over the outside records finds every pair whose shared weight is at least LEAST_SHARE of the
+weight of the record that has less of it. It is pruned as in MaxScore: as such a pair shares one of the
+heaviest terms of the lighter record (all others together fall short), only the postings of those terms are
+opened, and what the remaining terms can add bounds which records are looked up further.
+A pair must then be the citation's best or tie with it, and near the best of the outside record as well (several
+citations may be of one work, so nearness is relative to the record's best score). Confidence is a logistic
+function of score, gap and agreement, fitted on a bounded sample (SAMPLE_PAIRS) of clear cases; a pair is a match
+if its confidence is LEAST_CONFIDENCE or more.
 
 Null attributes give no terms; records without terms match nothing; copies count once; ties go to the
 smaller id, and a tie between two outside records of like agreement keeps both; empty tables give an
@@ -38,11 +37,12 @@ from millrace.sources.tables import columns_or_null, table
 NEAR_BEST = 0.6
 #: Share of a citation's best rating from which another outside record ties with it.
 TIE = 0.85
-RARE_TITLE, RARE_AUTHORS = 5, 4
-#: Records of one index of single terms; queries that are put to one index in a task.
+#: Least share of the lighter record's weight that a pair has in common.
+LEAST_SHARE = 0.5
+#: Records of one index; queries that are put to one index in a task.
 SHARD, BLOCK = 60_000, 25_000
-#: Pairs of the highest scores that are rated first, so that their best prunes the others.
-FIRST = 16
+#: BM25's saturation and length normalisation.
+K1, B_LENGTH = 1.2, 0.3
 SAMPLE_PAIRS = 20_000
 #: Letters that two titles of one work may differ in.
 TITLE_SLIPS = 3
@@ -135,69 +135,13 @@ def weighted(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     out = []
     for rows, terms in ((left, a), (right, b)):
         bags = terms.join(idf, "term").groupBy("id").agg(F.reverse(F.array_sort(F.collect_list(F.struct("weight", "term")))).alias("terms"))
-        # hashes and weights go along with pairs, as they are shorter and quicker to read than the terms
+        # the index reads hashes and weights, which are shorter than the terms
         coded = bags.withColumn("hashes", F.transform("terms", lambda t: F.xxhash64(t["term"]))).withColumn("weights", F.transform("terms", lambda t: t["weight"]))
         out.append(materialize(rows.join(coded, "id")))
     return out[0], out[1]
 
 
-def _keys(terms: list[tuple[float, str]], needed: float) -> set[tuple[str, ...]]:
-    """Conjunctions of a record's rarest terms whose weights reach ``needed``, so that their posting lists stay short.
-
-    A conjunction that falls short is extended by further terms of the record; one that still does is left out.
-    """
-    weight = {t: w for w, t in terms}
-    title = [t for _, t in terms if t[0] == "t"][:RARE_TITLE]
-    people = [t for _, t in terms if t[0] == "a"][:RARE_AUTHORS]
-    year, pages, volume = (next((t for _, t in terms if t[0] == k), None) for k in "ypn")
-    venue = [t for _, t in terms if t[0] == "v"][:2]
-    facts = [t for t in (year, volume, *venue[:1]) if t]
-    bases = [((x, y), title) for i, x in enumerate(title) for y in title[i + 1 :]]
-    for k, p in enumerate(people):
-        bases += [((p, x), [*facts, *title[:3]]) for x in title[:3]]
-        bases += [((p, q), [*facts, *people, *title[:1]]) for q in people[k + 1 :]]
-        bases += [((p, f), [*facts, *title[:2]]) for f in facts]
-    if pages:
-        bases += [((pages, f), [*facts, *title[:1]]) for f in (*facts, *people[:2], *title[:2])]
-    keys: set[tuple[str, ...]] = set()
-    for base, more in bases:
-        total = sum(weight[t] for t in base)
-        if total >= needed:
-            keys.add(tuple(sorted(base)))
-            continue
-        for x in more:
-            if x not in base and total + weight[x] >= needed:
-                keys.add(tuple(sorted((*base, x))))
-            elif x not in base:
-                keys |= {tuple(sorted((*base, x, y))) for y in more if y > x and y not in base and total + weight[x] + weight[y] >= needed}
-    return keys
-
-
-def _key_rows(needed: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys = [], []
-            for i, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = _keys([(t["weight"], t["term"]) for t in terms or []], needed)
-                ids += [i] * len(found)
-                keys += ["|".join(k) for k in found]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.string())], names=["id", "key"])
-
-    return run
-
-
-def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct (a, b) that share a conjunction; only hashed keys and ids are shuffled."""
-    # a conjunction of independent terms with these weights is expected in less than one record by chance
-    needed = math.log(max(2, left.count() + right.count())) + math.log(2)
-
-    def index(df: DataFrame, name: str) -> DataFrame:
-        return df.select("id", "terms").mapInArrow(_key_rows(needed), "id long, key string").select(F.xxhash64("key").alias("key"), F.col("id").alias(name))
-
-    return index(left, "a").join(index(right, "b"), "key").select("a", "b").distinct()
-
-
-_FEATURES = ("score", "own_a", "own_b", "title", "people", "years", "pages", "volume", "venue")
+_FEATURES = ("title", "people", "years", "pages", "volume", "venue")
 
 
 def _share(a: list[str], b: list[str], slack: int) -> float:
@@ -228,155 +172,135 @@ def same_title(a: dict, b: dict) -> float:
 
 def compare(a: dict, b: dict) -> tuple[float, ...]:
     """Features of a pair. title: 1 same, 0 unknown, -1 other; pages, volume: 1 equal, 0 unknown, -1 unequal; years: difference, -1 unknown."""
-    theirs = set(b["hashes"])
-    score = sum(w for h, w in zip(a["hashes"], a["weights"]) if h in theirs)
     title = same_title(a, b)
     agree = lambda k: 0.0 if not a[k] or not b[k] else 1.0 if a[k] == b[k] else -1.0
     years = abs(a["year"] - b["year"]) if a["year"] and b["year"] else -1
-    return score, sum(a["weights"]), sum(b["weights"]), title, _share(a["authors"], b["authors"], 2), float(years), agree("pages"), agree("volume"), _share(a["venue"], b["venue"], 0)
+    return title, _share(a["authors"], b["authors"], 2), float(years), agree("pages"), agree("volume"), _share(a["venue"], b["venue"], 0)
 
 
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cols = [c.to_pylist() for c in batch.columns]
-        rows = [compare(x, y) for x, y in zip(cols[2], cols[3])]
+        rows = [compare(x, y) for x, y in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())]
         f = np.array(rows, float).reshape(-1, len(_FEATURES))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(f[:, k]) for k in range(f.shape[1]))], names=["a", "b", *_FEATURES])
+        columns = [*(batch.column(k) for k in range(5)), *(pa.array(f[:, k]) for k in range(f.shape[1]))]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:5], *_FEATURES])
+
 
+class Bags:
+    """Bags of terms in a row, each from its heaviest term on."""
 
-_SOUGHT = ("hashes", "weights", "letters", "marker", "year", "pages", "volume")
+    def __init__(self, table: pa.Table):
+        self.ids = table.column("id").to_numpy()
+        hashes = table.column("hashes").combine_chunks()
+        self.begin = np.concatenate(([0], np.cumsum(table.column("n_terms").to_numpy()))).astype(np.int64)
+        self.terms = hashes.flatten().to_numpy(zero_copy_only=False)
+        self.weights = table.column("weights").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        self.of = np.repeat(np.arange(len(self.ids)), np.diff(self.begin))
+        self.own = np.bincount(self.of, self.weights, len(self.ids))
+        upto = np.cumsum(self.weights)
+        before = upto - self.weights - np.concatenate(([0.0], upto))[self.begin[:-1]][self.of]
+        self.least = LEAST_SHARE * self.own - 1e-9
+        #: A term is essential if it and the lighter ones reach the least weight a pair must share.
+        self.essential = self.own[self.of] - before >= self.least[self.of]
+        self.rest = self.own - np.bincount(self.of, self.weights * self.essential, len(self.ids))
 
 
 class Postings:
-    """Index of single terms over records, with what bounds a pair's rating from above."""
-
-    def __init__(self, records: list[dict]):
-        self.records = records
-        lens = [len(r["hashes"]) for r in records]
-        terms = np.fromiter((h for r in records for h in r["hashes"]), np.int64, sum(lens))
-        order = np.argsort(terms, kind="stable")
-        self.posts = np.repeat(np.arange(len(records)), lens)[order]
-        self.terms, begin = np.unique(terms[order], return_index=True)
-        self.begin = np.append(begin, len(terms))
-        self.place = {t: k for k, t in enumerate(self.terms.tolist())}
-        self.sums = np.zeros(len(records))
-        self.letters = np.array([self.tally(r["letters"]) for r in records], np.int16).reshape(-1, 32)
-        self.heads = np.array([self.tally((r["letters"] or "")[:CUT_LETTERS]) for r in records], np.int16).reshape(-1, 32)
-        self.length = np.array([len(r["letters"] or "") for r in records], np.int64)
-        self.year = np.array([r["year"] or 0 for r in records], np.int64)
-        self.codes = {k: np.array([hash(r[k]) if r[k] else 0 for r in records], np.int64) for k in ("marker", "pages", "volume")}
-
-    @staticmethod
-    def tally(letters: str | None) -> np.ndarray:
-        return np.bincount(np.frombuffer((letters or "").encode("utf-32-le", "surrogatepass"), np.uint32) & 31, minlength=32)
-
-    def turns(self, q: dict, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The most that ``turn`` can be for each pair, and where it is just that; an edit changes two letters of a tally at most."""
-        n, length = len(q["letters"] or ""), self.length[at]
-        title = np.where((length == 0) | (n == 0), 0.0, -1.0)
-        known = np.flatnonzero(title)
-        some, sizes = at[known], length[known]
-        cut = (np.minimum(sizes, n) >= CUT_LETTERS) & (np.abs(self.heads[some] - self.tally((q["letters"] or "")[:CUT_LETTERS])).sum(1) <= 6)
-        title[known[cut]] = CUT_TITLE
-        near = np.flatnonzero((np.abs(sizes - n) <= TITLE_SLIPS) & (self.codes["marker"][some] == (hash(q["marker"]) if q["marker"] else 0)))
-        near = near[np.abs(self.letters[some[near]] - self.tally(q["letters"])).sum(1) <= 2 * TITLE_SLIPS]
-        title[known[near]] = 1.0
-        agree = lambda k: np.where(self.codes[k][at] == 0, 0.0, np.where(self.codes[k][at] == hash(q[k]), 1.0, -1.0)) if q[k] else 0.0
-        far = (self.year[at] > 0) & (np.abs(self.year[at] - q["year"]) > 1) if q["year"] else False
-        return 1 + 0.5 * title + 0.2 * agree("pages") + 0.05 * agree("volume") - 0.1 * far, title <= 0
-
-    def rating(self, q: dict, k: int) -> float:
-        r = self.records[k]
-        theirs = set(r["hashes"])
-        score = sum(w for h, w in zip(q["hashes"], q["weights"]) if h in theirs)
-        agree = lambda c: 0.0 if not q[c] or not r[c] else 1.0 if q[c] == r[c] else -1.0
-        far = bool(q["year"] and r["year"] and abs(q["year"] - r["year"]) > 1)
-        return score * (1 + 0.5 * same_title(q, r) + 0.2 * agree("pages") + 0.05 * agree("volume") - 0.1 * far)
-
-    def search(self, q: dict, known: float) -> list[int]:
-        """All records whose rating with ``q`` is at least TIE of the best, and of ``known``."""
-        weights = q["weights"]
-        rest = np.append(np.cumsum(weights[::-1])[::-1], 0.0)
-        most = 1 + 0.5 * bool(q["letters"]) + 0.2 * bool(q["pages"]) + 0.05 * bool(q["volume"])
-        floor = TIE * known - 1e-9
-        # a pair at the floor shares one of the heaviest terms, as all others together fall short of it
-        n_terms = int(np.searchsorted(-rest, -floor / most, "right")) if known > 0 else len(weights)
-        n_terms = min(n_terms, len(weights))
-        whole = n_terms == len(weights)
-        lists = []
-        for h, w in zip(q["hashes"][:n_terms], weights[:n_terms]):
-            k = self.place.get(h)
-            if k is not None:
-                lists.append(self.posts[self.begin[k] : self.begin[k + 1]])
-                self.sums[lists[-1]] += w
-        if not lists:
-            return []
-        least = max(floor / most - rest[n_terms], 1e-12)
-        if sum(map(len, lists)) * 8 > len(self.sums):
-            at = np.flatnonzero(self.sums >= least)
-        else:
-            met = np.concatenate(lists)
-            at = np.unique(met[self.sums[met] >= least])
-        score = self.sums[at] + rest[n_terms]
+    """Inverted index of bags: the postings of all terms, and those of essential terms only."""
+
+    def __init__(self, bags: Bags):
+        self.bags = bags
+        self.sums = np.zeros(len(bags.ids))
+        self.all = self._lists(np.arange(len(bags.terms)))
+        self.essential = self._lists(np.flatnonzero(bags.essential))
+
+    def _lists(self, at: np.ndarray) -> dict[int, np.ndarray]:
+        order = at[np.argsort(self.bags.terms[at], kind="stable")]  # records of a term stay in ascending order
+        terms, begin = np.unique(self.bags.terms[order], return_index=True)
+        return dict(zip(terms.tolist(), np.split(self.bags.of[order], begin[1:]))) if len(terms) else {}
+
+    def _met(self, lists: list[np.ndarray], weights: list[float], enough) -> np.ndarray:
+        """Records of the lists whose summed weight is ``enough``."""
+        for part, w in zip(lists, weights):
+            self.sums[part] += w
+        met = np.concatenate(lists)
+        met = np.unique(met[enough(met)])
         for part in lists:
             self.sums[part] = 0.0
-        best, found = known, []
-
-        def rate(at: np.ndarray, score: np.ndarray) -> None:
-            nonlocal best
-            turn, sure = self.turns(q, at)
-            high = score * turn
-            sure &= whole
-            best = max(best, high[sure].max(initial=0.0))
-            rest = np.flatnonzero(~sure & (high >= TIE * best - 1e-9))
-            for i in rest[np.argsort(-high[rest])].tolist():
-                if high[i] < TIE * best - 1e-9:
+        return met
+
+    def search(self, terms: list[int], weights: list[float], own: float, least: float, n_essential: int) -> tuple[np.ndarray, np.ndarray]:
+        """Records and shared weight of all pairs that share LEAST_SHARE of the lighter one's weight."""
+        bags, found = self.bags, []
+        rest = own - sum(weights[:n_essential])
+        known = [(self.all[t], w) for t, w in zip(terms[:n_essential], weights) if t in self.all]
+        if known:  # the query is the lighter one
+            found.append(self._met([x for x, _ in known], [w for _, w in known], lambda met: (self.sums[met] + rest >= least) & (bags.own[met] >= own)))
+        known = [(self.essential[t], w) for t, w in zip(terms, weights) if t in self.essential]
+        if known:  # the record is
+            found.append(self._met([x for x, _ in known], [w for _, w in known], lambda met: (self.sums[met] + bags.rest[met] >= bags.least[met]) & (bags.own[met] < own)))
+        at = np.concatenate(found) if found else np.zeros(0, np.int64)
+        if not len(at):
+            return at, np.zeros(0)
+        need = np.minimum(least, bags.least[at])
+        score, rest = np.zeros(len(at)), own
+        for t, w in zip(terms, weights):
+            rest -= w
+            part = self.all.get(t)
+            if part is not None:
+                place = np.searchsorted(part, at)
+                place[place == len(part)] = 0
+                score += w * (part[place] == at)
+            alive = score + rest >= need
+            if not alive.all():
+                at, score, need = at[alive], score[alive], need[alive]
+                if not len(at):
                     break
-                high[i] = self.rating(q, int(at[i]))
-                best = max(best, high[i])
-            found.append((at, high))  # one that is not rated has a bound below the best
-
-        if len(at) > 4 * FIRST:
-            first = np.argpartition(-score, FIRST)[:FIRST]
-            rate(at[first], score[first])
-            left = score * most >= TIE * best - 1e-9
-            left[first] = False
-            at, score = at[left], score[left]
-        if len(at):
-            rate(at, score)
-        return [k for at, high in found for k in at[(high > 0) & (high >= TIE * best - 1e-9)].tolist()]
+        kept = score >= need
+        return at[kept], score[kept]
 
 
 def _search(key: tuple, queries: pa.Table, records: pa.Table) -> pa.Table:
-    index = Postings(records.column("r").to_pylist())
-    ids = records.column("id").to_pylist()
-    of, to = [], []
-    if ids:
-        for i, known, q in zip(*(queries.column(c).to_pylist() for c in ("id", "known", "r"))):
-            found = index.search(q, known)
-            of += [i] * len(found)
-            to += [ids[k] for k in found]
-    return pa.table({"q": pa.array(of, pa.int64()), "hit": pa.array(to, pa.int64())})
+    asks, index = Bags(queries), Postings(Bags(records))
+    of, to, shared = [], [], []
+    essential = np.bincount(asks.of, asks.essential, len(asks.ids)).astype(int).tolist()
+    terms, weights = asks.terms.tolist(), asks.weights.tolist()
+    for k, (i, j) in enumerate(zip(asks.begin[:-1].tolist(), asks.begin[1:].tolist())):
+        at, score = index.search(terms[i:j], weights[i:j], float(asks.own[k]), float(asks.least[k]), essential[k])
+        if len(at):
+            of.append(np.full(len(at), asks.ids[k]))
+            to.append(index.bags.ids[at])
+            shared.append(score)
+    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+    return pa.table({"a": pa.array(join(of, np.int64), pa.int64()), "b": pa.array(join(to, np.int64), pa.int64()), "shared": pa.array(join(shared, float), pa.float64())})
 
 
-def searched(queries: DataFrame, records: DataFrame, known: DataFrame) -> DataFrame:
-    """(q, hit): for each query all records that reach TIE of its best rating, if that is no less than the ``known`` (id, known).
+def searched(queries: DataFrame, records: DataFrame) -> DataFrame:
+    """(a, b, shared): all pairs of a query and a record that share at least LEAST_SHARE of the lighter one's weight.
 
-    Every block of queries meets every shard of records once.
+    Every block of queries meets every shard of records once; blocks and shards are of bounded size, so that
+    the work of a task is bounded, and the number of tasks grows as the product of both tables.
     """
     shards, blocks = max(1, -(-records.count() // SHARD)), max(1, -(-queries.count() // BLOCK))
-    keyed = lambda df, mine, n, other, m: df.withColumn(mine, F.pmod(F.xxhash64("id"), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
-    sought = F.struct(*_SOUGHT).alias("r")
-    q = queries.join(known, "id", "left").select("id", F.coalesce("known", F.lit(0.0)).alias("known"), sought)
-    left = keyed(q, "block", blocks, "shard", shards).groupBy("block", "shard")
-    right = keyed(records.select("id", sought), "shard", shards, "block", blocks).groupBy("block", "shard")
-    return left.cogroup(right).applyInArrow(_search, "q long, hit long")
+    keyed = lambda df, mine, n, other, m: df.select("id", F.size("hashes").alias("n_terms"), "hashes", "weights").withColumn(mine, F.pmod(F.xxhash64("id"), F.lit(n))).withColumn(
+        other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+    )
+    left = keyed(queries, "block", blocks, "shard", shards).groupBy("block", "shard")
+    right = keyed(records, "shard", shards, "block", blocks).groupBy("block", "shard")
+    return left.cogroup(right).applyInArrow(_search, "a long, b long, shared double")
 
 
-def _compared(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    side = lambda df, name: df.select(F.col("id").alias(name), F.struct(*[c for c in df.columns if c not in ("id", "words", "terms")]).alias(f"r{name}"))
-    pairs = pairs.join(side(left, "a"), "a").join(side(right, "b"), "b").select("a", "b", "ra", "rb")
-    return pairs.mapInArrow(_score, "a long, b long, " + ", ".join(f"{n} double" for n in _FEATURES))
+def scored_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """All pairs of enough shared weight, with their BM25 score and agreement."""
+    own = F.aggregate("weights", F.lit(0.0), lambda x, w: x + w)
+    length = right.agg(F.avg(F.size("hashes")).alias("usual"))
+    attributes = ("letters", "marker", "year", "pages", "volume", "authors", "venue")
+    side = lambda df, name, *more: df.select(F.col("id").alias(name), own.alias(f"own_{name}"), *more, F.struct(*attributes).alias(f"r{name}"))
+    pairs = searched(left, right).join(side(left, "a"), "a").join(side(right, "b", F.size("hashes").alias("n_terms")), "b").crossJoin(F.broadcast(length))  # one row
+    # a term stands once in a bag, so its saturation depends on the length of the bag only
+    saturation = (K1 + 1) / (1 + K1 * (1 - B_LENGTH + B_LENGTH * F.col("n_terms") / F.col("usual")))
+    pairs = pairs.select("a", "b", (F.col("shared") * saturation).alias("score"), "own_a", "own_b", "ra", "rb")
+    return pairs.mapInArrow(_compare, "a long, b long, score double, own_a double, own_b double, " + ", ".join(f"{n} double" for n in _FEATURES))
 
 
 def rated(pairs: DataFrame) -> DataFrame:
@@ -385,16 +309,6 @@ def rated(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("rating", F.col("score") * turn)
 
 
-def scored_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Candidates and what the exact search adds to them, with their BM25 score and agreement."""
-    first = materialize(_compared(candidates(left, right), left, right))
-    known = lambda name: rated(first).groupBy(F.col(name).alias("id")).agg(F.max("rating").alias("known"))
-    more = searched(left, right, known("a")).select(F.col("q").alias("a"), F.col("hit").alias("b"))
-    more = more.union(searched(right, left, known("b")).select(F.col("hit").alias("a"), F.col("q").alias("b")))
-    more = more.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    return first.union(_compared(more, left, right))
-
-
 def nearest(pairs: DataFrame) -> DataFrame:
     """Pairs that are the citation's best or tie with it, near the record's best, with the gap to the next."""
     of_a = W.partitionBy("a")  # a citation's candidates are few; an outside record may have very many, so its best is aggregated
@@ -426,16 +340,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray
     return w
 
 
+#: Designs of a full agreement and a full disagreement, which stand in every sample, so that it has both kinds.
+PROTOTYPES = (((1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0, 1.0, 1.0, 1.0), 1.0), ((1.0, 0.0, 0.0, -1.0, 0.0, 1.0, 1.0, -1.0, -1.0, 0.0), 0.0))
+
+
 def calibrated(near: DataFrame) -> DataFrame:
     """``near`` with a confidence. Clear cases of a bounded sample: equal pages and titles against unequal ones."""
     designed = _design(near)
     clear = designed.withColumn("y", F.when((F.col("title") == 1) & (F.col("pages") == 1), 1.0).when((F.col("title") == -1) | (F.col("pages") == -1), 0.0)).filter("y is not null")
-    rows = clear.orderBy(F.xxhash64("a", "b")).limit(SAMPLE_PAIRS).select("x", "y").collect()
-    y = np.array([r.y for r in rows])
-    if len(set(y)) < 2:
-        weights = [-4.0, 6.0, 1.0, 2.0, 1.0, -1.0, -1.0, 2.0, 0.5, 0.5]
-    else:
-        weights = fit_logistic(np.array([r.x for r in rows]), y).tolist()
+    rows = [*((r.x, r.y) for r in clear.orderBy(F.xxhash64("a", "b"), "a", "b").limit(SAMPLE_PAIRS).select("x", "y").collect()), *PROTOTYPES]
+    weights = fit_logistic(np.array([x for x, _ in rows]), np.array([y for _, y in rows])).tolist()
     logit = sum(F.col("x")[k] * w for k, w in enumerate(weights))
     return designed.withColumn("confidence", 1 / (1 + F.exp(-logit)))
 
@@ -443,19 +357,8 @@ def calibrated(near: DataFrame) -> DataFrame:
 def match_records(biblio: DataFrame, ext: DataFrame) -> DataFrame:
     """(biblio_id, ext_id, confidence): citations with the outside record of the same work."""
     left, right = weighted(materialize(read_citations(biblio)), materialize(read_works(ext)))
-    pairs = materialize(scored_pairs(left, right))
-    near = calibrated(nearest(pairs))
-    # the exact check: a known title must be the same with the same part; without one, pages or all else must agree
-    people_ok = F.col("people") != 0
-    titled = (F.col("title") == 1) & people_ok & ~((F.col("pages") == -1) & ((F.col("volume") == -1) | (F.col("years") > 1)))
-    open_title = F.col("title").isin(0.0, CUT_TITLE)
-    paged = open_title & (F.col("pages") == 1) & people_ok & ((F.col("title") > 0) | (F.col("people") > 0) | (F.col("venue") >= 0.5))
-    against = (F.col("volume") == -1) | (F.col("years") > 1) | F.col("venue").between(0, 0.49) | (F.col("people") == 0)
-    one = lambda c: F.when(c, 1).otherwise(0)
-    agreed = one(F.col("people") >= 0.5) + one(F.col("people") == 1) + one(F.col("years").between(0, 1)) + one(F.col("volume") == 1) + one(F.col("venue") >= 0.5) + 2 * one(F.col("title") > 0)
-    else_ok = open_title & (F.col("pages") == 0) & ~against & ((F.col("people") >= 0.5) | (F.col("title") > 0)) & (agreed >= 4) & (F.col("gap") > 0.03)
-    kept = near.filter(titled | paged | else_ok)
-    return kept.select(F.col("a").alias("biblio_id"), F.col("b").alias("ext_id"), F.greatest("confidence", F.lit(LEAST_CONFIDENCE)).alias("confidence"))
+    near = calibrated(materialize(nearest(materialize(scored_pairs(left, right)))))
+    return near.filter(F.col("confidence") >= LEAST_CONFIDENCE).select(F.col("a").alias("biblio_id"), F.col("b").alias("ext_id"), "confidence")
 
 
 def p7_matches(spark: SparkSession, root: str) -> DataFrame:
