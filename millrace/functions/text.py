@@ -231,9 +231,22 @@ def document_language(label: Column, title: Column) -> Column:
     return script_family(F.when(named == "chinese", "ch").otherwise(named))
 
 
+# Rewrites to Markdown, as (pattern, replacement), in order: equation tags inside their equations, escaped full
+# stops plain, bold formulas as mathbf, addresses as links, code between fences of their own.
+MARKDOWN_RULES = (
+    (r"(?md)^\(([0-9.]+[a-zA-Z]?)\) \\\[([^\n]+?)\\\]$", r"\\[$2 \\tag{$1}\\]"),
+    (r"(?md)^\\\[([^\n]+?)\\\] \(([0-9.]+[a-zA-Z]?)\)$", r"\\[$1 \\tag{$2}\\]"),
+    (r"(?md)^\\\[([^\n]+?)\\\] \(([0-9.]+[a-zA-Z]?)\) (\\\[[^\n]+?\\\])$", r"\\[$1 \\tag{$2}\\] $3"),
+    (r"\\\. ", ". "),
+    (r"\\bm\{|\{\\\\bm ", r"\\mathbf{"),
+    (r"\\mbox\{ ?\\boldmath\$([^\n]*?)\$\}", r"\\mathbf{$1}"),
+    (r"((?:https?|ftp)://[\w_-]+(?:\.[\w_-]+)+[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])", "[$1]($1)"),
+    (r"(?s)```\s*(.+?)\s*```", "```\n$1\n```"),
+)
+
+
 def markdown_compatible(c: Column) -> Column:
-    """T5: equation tags inside their equations, addresses as links, escaped full stops plain, bold formulas as mathbf."""
-    c = F.regexp_replace(c, r"(?m)^\(([0-9.]+[a-zA-Z]?)\) \\\[(.+?)\\\]$", r"\\[$2 \\tag{$1}\\]")
-    c = F.regexp_replace(c, r"(?m)^\\\[(.+?)\\\] \(([0-9.]+[a-zA-Z]?)\)$", r"\\[$1 \\tag{$2}\\]")
-    c = F.replace(F.replace(c, F.lit("\\. "), F.lit(". ")), F.lit("\\bm{"), F.lit("\\mathbf{"))
-    return F.regexp_replace(c, r"(https?://[\w_-]+(?:\.[\w_-]+)+[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])", "[$1]($1)")
+    """T5."""
+    for pattern, to in MARKDOWN_RULES:
+        c = F.regexp_replace(c, pattern, to)
+    return c

@@ -82,7 +82,12 @@ def cut_repeating_tail(text: str | None, least: int = TAIL_LEAST) -> str | None:
         return text
     low = text.lower()
     n = len(low)
-    size = next((r for r in range((n - 1) // 2, least - 1, -1) if low[n - r :] == low[n - 2 * r : n - r]), 0)
+    # a repeating end of r letters has its last ``least`` letters once more, r before
+    mark, size, at = low[n - least :], 0, low.find(low[n - least :], max(0, n - 2 * ((n - 1) // 2)))
+    while 0 <= at < n - least and not size:
+        r = n - least - at
+        size = r if least <= r <= (n - 1) // 2 and low.startswith(low[n - r :], n - 2 * r) else 0
+        at = low.find(mark, at + 1)
     if not size:
         return text
     tail = low[n - size :]
@@ -102,16 +107,21 @@ def cut_repeating_tail(text: str | None, least: int = TAIL_LEAST) -> str | None:
     return kept
 
 
+def common_letters(a: str, b: str) -> int:
+    """Length of the longest common subsequence, all letters of ``a`` at once in the bits of an integer."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    every = open_bits = (1 << len(a)) - 1
+    for c in b:
+        met = open_bits & at.get(c, 0)
+        open_bits = ((open_bits + met) | (open_bits - met)) & every
+    return len(a) - open_bits.bit_count()
+
+
 def alike(a: str, b: str) -> float:
     """Twice the longest common subsequence over both lengths."""
-    if not a and not b:
-        return 1.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-    return 2 * row[-1] / (len(a) + len(b))
+    return 2 * common_letters(a, b) / (len(a) + len(b)) if a or b else 1.0
 
 
 def _may_be_alike(a: str, b: str, least: float) -> bool:
