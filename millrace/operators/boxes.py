@@ -30,6 +30,16 @@ def area(p: str = "") -> Column:
     return (F.col(f"{p}xmax") - F.col(f"{p}xmin")) * (F.col(f"{p}ymax") - F.col(f"{p}ymin"))
 
 
+def bounding(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
+    """The rectangle around two."""
+    return {s: (F.least if s.endswith("min") else F.greatest)(a[s], b[s]) for s in SIDES}
+
+
+def holds(x: Column, y: Column) -> Column:
+    """Whether a point lies in the box, its edges included."""
+    return x.between(F.col("xmin"), F.col("xmax")) & y.between(F.col("ymin"), F.col("ymax"))
+
+
 def overlap(axis: str, a: str = "a_", b: str = "b_") -> Column:
     """Length of the common stretch of two boxes on an axis, 0 if they don't meet."""
     return F.greatest(F.least(F.col(f"{a}{axis}max"), F.col(f"{b}{axis}max")) - F.greatest(F.col(f"{a}{axis}min"), F.col(f"{b}{axis}min")), F.lit(0.0))
@@ -112,6 +122,17 @@ def free_intervals(df: DataFrame, page: list[str]) -> DataFrame:
     return rows.select(*page, "from", "to").union(tail).filter(F.col("from") < F.col("to"))
 
 
+def cut_around(texts: DataFrame, cutters: DataFrame, page: list[str], ratio: float = 0.5) -> DataFrame:
+    """The stretches of each text box that no box on its line covers; a box on its line shares more than ``ratio`` of the smaller height. Pieces keep the number of their box."""
+    met = neighbours(texts, cutters, page)
+    height = lambda k: F.col(f"{k}ymax") - F.col(f"{k}ymin")
+    met = met.filter((overlap("y") > ratio * F.least(height("a_"), height("b_"))) & (overlap("x") > 0))
+    spans = met.select(*page, F.col("a_box").alias("box"), F.col("a_xmin").alias("lo"), F.col("a_xmax").alias("hi"), F.col("b_xmin").alias("xmin"), F.col("b_xmax").alias("xmax"))
+    cut = free_intervals(spans, [*page, "box"]).select(*page, "box", F.col("from").alias("xmin"), F.col("to").alias("xmax"))
+    whole = texts.join(spans.select(*page, "box").distinct(), [*page, "box"], "left_anti").select(*page, "box", "xmin", "xmax")
+    return cut.union(whole)
+
+
 def attached(inner: DataFrame, outer: DataFrame, page: list[str]) -> DataFrame:
     """Boxes assigned to the regions that hold most of their middle (both shrunk by a tenth at each side)."""
     w, h = F.col("a_xmax") - F.col("a_xmin"), F.col("a_ymax") - F.col("a_ymin")

@@ -53,11 +53,11 @@ def symbol_rule(c: Column) -> Column:
     return F.when(solid == 0, -1).when(solid - letters > RATIO * solid, 0).otherwise(1)
 
 
-def address_rule(c: Column) -> Column:
-    """L4: 0 if addresses (URL, e-mail, DOI; overlaps count twice) make up more than URL_RATIO and the line is no reference, else 1."""
+def address_rule(c: Column, exempt: bool = True) -> Column:
+    """L4: 0 if addresses (URL, e-mail, DOI; overlaps count twice) make up more than URL_RATIO and the line is no (exempt) reference, else 1."""
     hit = sum(F.length(F.array_join(F.regexp_extract_all(c, F.lit(p), F.lit(0)), "")) for p in (URL, EMAIL, DOI))
     solid = _without(c, r"\s")
-    return F.when((solid > 0) & (hit > URL_RATIO * solid) & ~c.rlike(REFERENCE), 0).otherwise(1)
+    return F.when((solid > 0) & (hit > URL_RATIO * solid) & (~c.rlike(REFERENCE) if exempt else F.lit(True)), 0).otherwise(1)
 
 
 def is_short(c: Column, words: int) -> Column:

@@ -16,13 +16,15 @@ from millrace.operators.repeats import alike, cut_repeating_tail, repeated_slice
 # Limits of the clean-up.
 LONG_HEADING, MOST_TABULAR, MOST_MULTICOLUMN, MOST_CELLS = 100, 15, 60, 400
 MISSING = "[MISSING_PAGE_POST]"
-# Spellings of one LaTeX command.
+# Spellings of one LaTeX command, in order.
 TEX_SYNONYMS = (
-    ("\\varphi", "\\phi"), ("\\vartheta", "\\theta"), ("\\varepsilon", "\\epsilon"), ("\\leqslant", "\\leq"), ("\\geqslant", "\\geq"), ("\\le ", "\\leq "), ("\\ge ", "\\geq "), ("\\ne ", "\\neq "),
-    ("\\to ", "\\rightarrow "), ("\\gets ", "\\leftarrow "), ("\\dots", "\\ldots"), ("\\cdots", "\\ldots"), ("\\mbox{", "\\text{"), ("\\textrm{", "\\text{"), ("\\bm{", "\\mathbf{"), ("\\boldsymbol{", "\\mathbf{"),
+    ("\\rbrack ", "] "), ("\\lbrack ", "[ "), ("\\lbrace ", "\\} "), ("\\rbrace ", "\\{ "), ("\\lnot ", "\\neg "), ("\\land ", "\\wedge "), ("\\vee ", "\\lor "), ("\\doublecup ", "\\Cup "),
+    ("\\doublecap ", "\\Cap "), ("\\llless ", "\\lll "), ("\\gggtr ", "\\ggg "), ("\\doteqdot ", "\\Doteq "), ("\\ne ", "\\neq "), ("\\le ", "\\leq "), ("\\ge ", "\\geq "),
+    ("\\leftarrow ", "\\gets "), ("\\rightarrow ", "\\to "), ("\\restriction ", "\\upharpoonright "), ("\\owns ", "\\ni "), ("\\textlnot ", "\\neg "), ("\\textellipsis ", "\\ldots "),
+    ("\\textbullet ", "\\bullet "), ("\\plusmn ", "\\pm "), ("\\texttimes", "\\times"), ("\\textmu", "\\mu"), ("\\textendash", "-"), ("\\textemdash", "---"), ("\\>", "\\:"),
+    ("\\medspace", "\\:"), ("\\thinspace", "\\,"), ("\\negthinspace", "\\!"), ("\\thickspace", "\\;"),
 )
-
-
+TEX_STYLES = ("\\displaystyle", "\\scriptstyle", "\\scriptscriptstyle", "\\textstyle")
 # Rewrites before repetition is looked for, as (pattern, replacement), in order.
 BEFORE = (
     (rf"(?:\n|^)#+ \d*[^\w\n]? ?([^\n]{{{LONG_HEADING},}})", "\n$1"),
@@ -92,12 +94,13 @@ def even_spacing(c: Column) -> Column:
     return T.strip(F.regexp_replace(F.regexp_replace(c, r"(?m)[ \t]+$", ""), r"\n{3,}", "\n\n"))
 
 
-def normal_tex(c: Column) -> Column:
-    """Delimiters and comments off a formula, one spelling per command, single spaces; inline formulas between \\( and \\)."""
-    body = F.regexp_replace(c, r"^\s*(?:\$\$?|\\\[|\\\()|(?:\$\$?|\\\]|\\\))\s*$", "")
-    body = F.regexp_replace(body, r"(?m)(?<!\\)%.*$", "")
-    body = T.replace_all(body, TEX_SYNONYMS)
-    return F.concat(F.lit("\\("), T.strip(F.regexp_replace(body, r"\s+", " ")), F.lit("\\)"))
+def normal_tex(c: Column, inline: bool = True) -> Column:
+    """A formula without its delimiters and comments, on one line, one spelling per command, no styles; then between delimiters anew. A blank one is empty."""
+    body = T.strip(F.regexp_replace(F.regexp_replace(T.strip(c), r"^(?:\\\(|\\\[|\$\$|\$)", ""), r"(?:\\\)|\\\]|\$\$|\$)\z", ""))
+    line = F.replace(F.regexp_replace(body, r"(?<!\\)%[^\n]*\n", "\n"), F.lit("\n"), F.lit(" "))
+    plain = T.replace_all(line, (*TEX_SYNONYMS, *[(x, "") for x in TEX_STYLES]))
+    opened, closed = ("\\(", "\\)") if inline else ("\\[", "\\]")
+    return F.when(body == "", "").otherwise(F.concat(F.lit(opened), plain, F.lit(closed)))
 
 
 def plain_letters(text: str | None) -> str | None:

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.body_steps import latex_table
+
 NS = "{http://www.tei-c.org/ns/1.0}"
 _SPACE = re.compile(r"\s+")
 
@@ -167,6 +169,33 @@ def render(doc: dict) -> str:
     return "\n".join(f"{head}\n{text}" for head, text in parts if text)
 
 
+def latex_of(xml: str | None) -> list[str] | None:
+    """The tables of a TEI document as LaTeX; null where the XML cannot be read."""
+    try:
+        root = ET.fromstring(xml or "")
+    except ET.ParseError:
+        return None
+    out = []
+    for e in _all(root, "figure"):
+        if e.get("type") != "table":
+            continue
+        rows = [[c for c in r if _local(c) == "cell"] for r in _all(e, "row")]
+        spans = [[int(c.get("cols") or 1) if (c.get("cols") or "1").isdigit() else 1 for c in r] for r in rows]
+        caption = [x for x in (_flat(_first(e, "figDesc")),) if x]
+        out.append(latex_table(caption, [[_flat(c) or None for c in r] for r in rows], spans, _flat(_first(e, "label"))))
+    return out
+
+
+def latex_tables(df: DataFrame, key: str, xml: str) -> DataFrame:
+    """(id, tables) of every TEI document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([latex_of(x) for x in batch.column(1).to_pylist()], pa.list_(pa.string()))], names=["id", "tables"])
+
+    return df.select(F.col(key).cast("string").alias("id"), F.col(xml).cast("string")).mapInArrow(run, "id string, tables array<string>")
+
+
 _LISTS = ("figures", "tables", "notes", "references")
 _SCHEMA = "id string, title string, abstract string, contents string, body string, figures array<string>, tables array<string>, notes array<string>, references array<string>, text string"
 
