@@ -68,10 +68,10 @@ def neighbours(a: DataFrame, b: DataFrame, page: list[str], axis: str = "y", ban
     return found.filter((F.col("band") == first) & touch).drop("band")
 
 
-def pairs(df: DataFrame, page: list[str], banded: float = BAND) -> DataFrame:
+def pairs(df: DataFrame, page: list[str], banded: float | None = None) -> DataFrame:
     """Ordered pairs of different boxes of a page that meet (strictly), columns prefixed a_ and b_."""
     meets = (F.col("a_xmin") < F.col("b_xmax")) & (F.col("b_xmin") < F.col("a_xmax")) & (F.col("a_ymin") < F.col("b_ymax")) & (F.col("b_ymin") < F.col("a_ymax"))
-    return neighbours(df, df, page, banded=banded).filter((F.col("a_box") != F.col("b_box")) & meets)
+    return neighbours(df, df, page, banded=banded or BAND).filter((F.col("a_box") != F.col("b_box")) & meets)
 
 
 def suppressed(df: DataFrame, page: list[str], figures_apart: bool = False) -> DataFrame:

@@ -62,12 +62,6 @@ def relative_coords(c: Column, width: float, height: float) -> Column:
     return F.array_join(F.transform(kept, lambda b: F.concat_ws(",", b[0].cast("int").cast("string"), r(b[1], width), r(b[2], height), r(b[1] + b[3], width), r(b[2] + b[4], height))), ";")
 
 
-def edit_share(a: Column, b: Column) -> Column:
-    """Edit distance over the longer length; null where either is shorter than four characters."""
-    long_enough = (F.length(a) >= 4) & (F.length(b) >= 4)
-    return F.when(long_enough & (a == b), 0.0).when(long_enough, F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))
-
-
 def token_scores(a: Column, b: Column) -> list[Column]:
     """Precision, recall and F of the sets of white-space tokens of a prediction and a truth; 0 where undefined."""
     x, y = (F.array_distinct(F.filter(F.split(c, r"\s+"), lambda w: w != "")) for c in (a, b))

@@ -13,6 +13,8 @@ from millrace.operators import lines as L
 from millrace.operators.classify import page_bounds
 from millrace.operators.latexml import pages_to_markdown
 from millrace.operators.pages import clean_pages
+from millrace.operators.repeats import alike
+from millrace.operators.structure import each_text
 from millrace.operators.tei import xml_escape
 from millrace.operators.tei_body import read_documents
 from millrace.sources.tables import table
@@ -152,10 +154,33 @@ def a11_best_caption(spark: SparkSession, root: str) -> DataFrame:
     return pairs.groupBy("figure").agg(F.max_by("other", F.struct(F.col("n"), -F.col("other"))).alias("other"), F.max("n").cast("long").alias("n_shared"))
 
 
+def a11_placed_captions(spark: SparkSession, root: str) -> DataFrame:
+    """Each figure text with the other text of its record that is most alike, if it is at least CAPTION_RATIO so."""
+    rows = table(spark, root, "grobid_elements").filter("text is not null and rec_id is not null").select("element_id", "rec_id", "element_type", "text").distinct()
+    a = rows.filter("element_type = 'figure'").select("rec_id", F.col("element_id").alias("figure"), F.col("text").alias("x"))
+    b = rows.select("rec_id", F.col("element_id").alias("other"), F.col("text").alias("y"))
+    # twice the shorter length over both is the most that the ratio can be
+    most = 2 * F.least(F.length("x"), F.length("y")) / F.greatest(F.length("x") + F.length("y"), F.lit(1))
+    pairs = a.join(b, "rec_id").filter((F.col("figure") != F.col("other")) & (most >= A.CAPTION_RATIO)).select(F.concat_ws(" ", "figure", "other").alias("pair"), F.array("x", "y").alias("both"))
+    ratios = each_text(pairs, "pair", "both", lambda t: alike(t[0], t[1]), "ratio double").filter(F.col("ratio") >= A.CAPTION_RATIO)
+    parts = F.split("id", " ")
+    return ratios.groupBy(parts[0].cast("long").alias("figure")).agg(F.max_by(parts[1].cast("long"), F.struct(F.round("ratio", 9), -parts[1].cast("long"))).alias("other"), F.round(F.max("ratio"), 6).alias("ratio"))
+
+
+def a9_found_figures(spark: SparkSession, root: str) -> DataFrame:
+    """The captions of each scanned item found in its running text with them, as recognised."""
+    rows = table(spark, root, "layout_dets").select("data_id", "page", "box_id", "det_id", "category_id", "content").distinct().filter("content is not null")
+    ordered = F.array_sort(F.collect_list(F.struct("page", "box_id", "det_id", "content", "category_id")))
+    items = rows.groupBy("data_id").agg(ordered.alias("parts"))
+    captions = F.transform(F.filter("parts", lambda p: p["category_id"].isin(4, 6)), lambda p: p["content"])
+    items = items.select("data_id", captions.alias("captions"), F.array_join(F.transform("parts", lambda p: p["content"]), " ").alias("text")).filter(F.size("captions") > 0)
+    return A.find_figures(items, "data_id", "captions", "text").select(F.col("id").alias("data_id"), "caption_no", F.col("end").alias("place"), F.round("score", 6).alias("score"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        m5_tables, m14_clean_pages, h2_page_rows, a7_bounds, a11_best_caption, t5_markdown, t28_document_language, t29_language, d9_label_suffix, d12_first_values, l10_place_date_lines, m7_kept_lines, x7_tei_documents, h5_markdown, g12_region_text, x15_flagged_boxes,
+        m5_tables, m14_clean_pages, h2_page_rows, a7_bounds, a11_best_caption, a11_placed_captions, a9_found_figures, t5_markdown, t28_document_language, t29_language, d9_label_suffix, d12_first_values, l10_place_date_lines, m7_kept_lines, x7_tei_documents, h5_markdown, g12_region_text, x15_flagged_boxes,
         a8_aligned_pages, a13_training_index,
     )
 }

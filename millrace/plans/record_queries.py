@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import stages as K
 from millrace.operators import tei as X
+from millrace.operators.align import edit_share
+from millrace.operators.structure import each_text
 from millrace.sources.tables import table
 
 
@@ -110,7 +112,9 @@ def t19_buckets(spark: SparkSession, root: str) -> DataFrame:
 
 def e1_edit_share(spark: SparkSession, root: str) -> DataFrame:
     """Recognised lines against the joined content."""
-    return table(spark, root, "layout_dets").select("det_id", F.round(X.edit_share(F.array_join("ptrmfr_texts", " "), F.col("content")), 6).alias("share")).filter("share is not null").distinct()
+    rows = table(spark, root, "layout_dets").filter("content is not null and ptrmfr_texts is not null").select("det_id", F.array("content", F.array_join("ptrmfr_texts", " ")).alias("both"))
+    shares = each_text(rows, "det_id", "both", lambda x: edit_share(x[0], x[1]), "share double").filter("share is not null")
+    return shares.select(F.col("id").cast("long").alias("det_id"), F.round("share", 6).alias("share")).distinct()
 
 
 def e2_token_scores(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 from millrace.operators import align as A
 from millrace.operators import assemble as G
@@ -38,25 +39,80 @@ HTML = """<html><head><title>x</title></head><body><article><h1 class="ltx_title
 
 
 def test_html(spark):
-    text, figures = to_markdown(HTML)
-    for part in ("# Big", "## One", "A **bold** and \\(x^2\\) word [3]", "* p\n* q", "[FIGURE:S1.F1]\nPlot\n[ENDFIGURE]", "|a|b|\n|-|-|\n|a|c|", "## References\n[1] Ref one"):
+    text, figures, references = to_markdown(HTML)
+    for part in ("# Big", "## One", "A **bold** and \\(x^2\\) word [3]", "* p\n* q", "[FIGURE:S1.F1]\nPlot\n[ENDFIGURE]", "\\begin{tabular}{ll}\n\\multirow{2}{*}{a} & b \\\\\n & c \\\\\n\\end{tabular}", "* Ref one"):
         assert part in text, part
-    assert figures == 1 and to_markdown("<p>no article</p>") is None and to_markdown(None) is None
+    assert figures == 1 and references == 1 and to_markdown("<p>no article</p>") is None and to_markdown(None) is None
     df = spark.createDataFrame([("a", HTML), ("b", None)], "k string, h string")
     assert {r.id: r.n_figures for r in pages_to_markdown(df, "k", "h").collect()} == {"a": 1, "b": None}
 
 
-def test_monotone_bounds_are_optimal():
+def test_monotone_bounds_leave_the_least_impurity():
     r = random.Random(2)
     for _ in range(60):
         n, k = r.randint(1, 8), r.randint(2, 4)
         labels = [r.randint(0, k - 1) for _ in range(n)]
-        cost = lambda b: sum(labels[i] != sum(i >= x for x in b) for i in range(n))  # noqa: B023, E731
+
+        def cost(b):
+            ends = [0, *b, n]
+            impurity = sum(A.gini(Counter(labels[i:j])) for i, j in zip(ends, ends[1:]))
+            return round(impurity, 6), sum(labels[i] != sum(i >= x for x in b) for i in range(n))  # noqa: B023
+
         best = min(cost(b) for b in itertools.combinations_with_replacement(range(n + 1), k - 1))
         got = A.monotone_bounds(labels, k)
         assert got == sorted(got) and cost(got) == best
 
 
+def test_edit_distances_and_searches():
+    r = random.Random(4)
+
+    def slow(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            diagonal, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                diagonal, row[j] = row[j], min(diagonal + (x != y), row[j] + 1, row[j - 1] + 1)
+        return row[-1]
+
+    for _ in range(400):
+        a, b = ("".join(r.choice("abc") for _ in range(r.randint(0, 12))) for _ in range(2))
+        assert A.edit_distance(a, b) == slow(a, b)
+        if a and a not in b:
+            best = min(slow(a, b[i:j]) for j in range(len(b) + 1) for i in range(j + 1))
+            found = A.find_phrase(a, b, 12)
+            assert found is None or found[1] == min(slow(a, b[i : found[0]]) for i in range(found[0] + 1)) == min(best, found[1])
+    assert A.edit_share("abcd", "abce") == 0.25 and A.edit_share("abc", "abcd") is None and A.edit_distance("", "xy") == 2
+
+
+def test_cut_of_uniform_scores():
+    from millrace.operators.structure import repeat_cut
+
+    r = random.Random(5)
+    wild = [r.random() * 60 for _ in range(300)]
+    assert repeat_cut(None) is None and repeat_cut([1.0] * 12) is None and repeat_cut(wild) is None
+    assert repeat_cut([1.0] * 600) == 0
+    cut = repeat_cut(wild + [5.0] * 900)
+    assert cut is not None and 300 < cut < 600
+
+
+def test_states_of_jobs(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from millrace.operators import jobs as J
+
+    now = dt.datetime(2024, 1, 1, 1)
+    start = dt.datetime(2024, 1, 1, 0)
+    rows = [(1, 10, start, 3600, 5, 4), (2, 10, start, 3599, 5, 4), (3, 20, start, 1, 5, 4), (4, 10, None, 1, 5, 4), (5, 10, start, 9999, 0, 4)]
+    df = spark.createDataFrame(rows, "id long, job_status int, start_time timestamp, timeout long, cluster_id int, total_pod_num int").selectExpr("*", "0 as exit_pod_num", "cast(null as timestamp) as end_time")
+    got = {r.id: (r.job_status, r.exit_pod_num, r.warning) for r in J.swept(df, F.lit(now)).collect()}
+    assert got == {1: (10, 0, None), 2: (20, 4, None), 3: (20, 0, None), 4: (10, 0, "no start time"), 5: (10, 0, None)}
+    asked = spark.createDataFrame([(1,), (3,), (5,), (1,)], "id long")
+    assert {r.id for r in J.stopped(df, asked, F.lit(now)).filter("changed").collect()} == {1}
+    assert df.limit(0).count() == J.swept(df.limit(0), F.lit(now)).count() == 0
+
+
 def test_phrases_and_scores():
     assert A.find_phrase("the quick fox", "see the quikc fox run", 3) == (17, 2) and A.find_phrase("zzzzzzz", "abc", 2) is None
     assert A.find_phrase("abc", "xabcx") == (4, 0) and A.boundary_score("abc", None) == 0.0 and A.boundary_score("abc", (4, 0)) == 1.0

@@ -33,10 +33,11 @@ def test_offsets_and_columns(spark):
 def test_pages(spark):
     long = "# " + "w" * 200
     table = "\\begin{table}" + "&" * 500 + "\\end{table}"
-    refs = "\n".join(f"[{i}] The same entry again" for i in range(8))
+    refs = "Text before.\n## References\n" + "\n".join(f"* [{i}] The same entry again and again, 19{i}" for i in range(10, 40)) + "\nThe end 5"
     rows = [("a", f"{long}\n#  \ntext é\n\n\n\nmore\n# End"), ("b", f"x {table} y"), ("c", refs), ("d", None), ("e", "")]
     got = {r.id: r.text for r in P.clean_pages(spark.createDataFrame(rows, "k string, t string"), "k", "t").collect()}
-    assert got["a"] == "w" * 200 + "\ntext e\n\nmore" and got["b"] == "x  y" and got["c"].endswith(P.MISSING) and got["d"] is None and got["e"] == ""
+    assert got["a"] == "w" * 200 + "\n\ntext é\n\nmore" and got["b"] == "" and got["d"] is None and got["e"] == ""
+    assert got["c"] == "Text before.\n\n[MISSING_PAGE_POST]\n\nhe end 5"  # up to and with the first letter that differs
     df = spark.createDataFrame([("$$ a \\le b % note\n$$",)], "x string")
     assert df.select(P.normal_tex(F.col("x")).alias("y")).first().y == "\\(a \\leq b\\)"
     assert P.offset_in_original("a *b* c", 2) == 6 and P.offset_in_original("ab", 9) == 2
