@@ -88,3 +88,85 @@ def wrap_formula(c: Column, category: Column) -> Column:
     body = F.replace(c, F.lit("$"), F.lit("\\$"))
     mark = F.when(category == 13, "$").otherwise("$$")
     return F.concat(mark, body, mark)
+
+
+def tei_text(text: str) -> str:
+    """parse 0: a TEI document as one text with its sections, its body finished."""
+    from millrace.operators.body_steps import finished
+    from millrace.operators.tei_body import read_document, render
+
+    doc = read_document(text)
+    if doc is None:
+        raise ValueError("no readable TEI")
+    return finished(render(doc)) or ""
+
+
+def page_text(text: str) -> str:
+    """parse 1: recognised pages: made-up references and repeating tails away, items on lines of their own."""
+    from millrace.operators.pages import items_apart, without_made_up_references
+    from millrace.operators.repeats import cut_repeating_tail
+
+    return items_apart(without_made_up_references(cut_repeating_tail(text) or ""))
+
+
+def region_text(text: str) -> str:
+    """parse 2: the text of page regions: lone blanks that stand between every letter away, hyphens at line ends closed."""
+    import re
+
+    from millrace.operators.structure import dehyphenated
+
+    return dehyphenated(re.sub(r"(?<! ) (?! )", "", text).replace("  ", " ") if re.fullmatch(r"(?:\S ?)+", text) and text.count(" ") * 2 >= len(text) - 1 else text)
+
+
+def without_phrases(text: str) -> str:
+    """clean 0: phrases repeated over and over collapsed to one."""
+    from millrace.operators.repeats import collapse_phrases
+
+    return collapse_phrases(text)[0] or ""
+
+
+#: Stages of whole documents by kind and code; a tag stage changes no text.
+DOCUMENT_STAGES: dict[tuple[str, str], Callable[[str], str]] = {("parse", "0"): tei_text, ("parse", "1"): page_text, ("parse", "2"): region_text, ("clean", "0"): without_phrases}
+
+
+def run_documents(df: DataFrame, key: str, column: str, plan: list[tuple[str, str]]) -> DataFrame:
+    """K2 to K5: (id, text, status, message, n_figures, n_tables): the stages of ``plan`` one after the other, in one narrow pass.
+
+    A document that fails at a stage (an error, or nothing left) keeps the text it had, takes no further stage and
+    says where it failed. ``tag`` 0 counts figures and tables in the project's tags. Codes without a stage fail.
+    """
+    import re
+
+    import pyarrow as pa
+
+    steps = [(kind, code.strip()) for kind, codes in plan for code in codes.split(",") if code.strip()]
+
+    def one(text: str | None) -> tuple:
+        figures = tables = None
+        if not text or not text.strip():
+            return text, False, "no text", figures, tables
+        for kind, code in steps:
+            if (kind, code) == ("tag", "0"):
+                figures, tables = (len(re.findall(rf"\[START_{name}\]|\[{name}:|\\begin\{{{name.lower()}", text)) for name in ("FIGURE", "TABLE"))
+                continue
+            step = DOCUMENT_STAGES.get((kind, code))
+            if step is None:
+                return text, False, f"{kind} {code}: no such stage", figures, tables
+            try:
+                new = step(text)
+            except Exception as error:  # noqa: BLE001  one document's failure is its own
+                return text, False, f"{kind} {code}: {error}", figures, tables
+            if not new.strip():
+                return text, False, f"{kind} {code}: empty", figures, tables
+            text = new
+        return text, True, "", figures, tables
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int64())
+        for batch in batches:
+            rows = [one(t) for t in batch.column(1).to_pylist()]
+            columns = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))], names=["id", "text", "status", "message", "n_figures", "n_tables"])
+
+    rows = df.select(F.col(key).cast("string").alias("id"), F.col(column).cast("string").alias("text"))
+    return rows.mapInArrow(run, "id string, text string, status boolean, message string, n_figures long, n_tables long")

@@ -12,6 +12,7 @@ from millrace.operators import boxes as B
 from millrace.operators import lines as L
 from millrace.operators import pages as P
 from millrace.operators import structure as S
+from millrace.operators.stages import run_documents
 from millrace.operators.tei_body import latex_tables
 from millrace.plans.case_queries import Cases, _by_id, _paged, _query, _sql
 from millrace.sources.tables import table
@@ -58,6 +59,21 @@ GRIDS: Cases = [
 ]
 
 
+_TEI = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><titleStmt><title>On {T}</title></titleStmt></teiHeader><text><body><div><head n="1">Intro</head><p>%s</p></div>%s</body></text></TEI>'
+STAGED: Cases = [
+    (_TEI % ("We say {T} of it.", ""), "true||0|0|#Title\nOn {T}\n##Contents\n1 Intro\n#Main Body\n## 1 Intro We say {T} of it."),
+    (_TEI % ("so so so so so so so end", '<figure xml:id="f1"><head>Figure 1</head><figDesc>{T}</figDesc></figure>'), "true||1|0|#Title\nOn {T}\n##Contents\n1 Intro\n##Figures\n[START_FIGURE]\nFigure 1\n\n{T}\n\n[END_FIGURE]\n#Main Body\n## 1 Intro so end"),
+    ("<TEI>{T}", "false|parse 0: no readable TEI|||<TEI>{T}"),
+    ("  ", "false|no text|||  "),
+]
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    out = run_documents(df, "doc_id", "text", [("parse", "0"), ("tag", "0"), ("clean", "0")])
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("status", "message", "n_figures", "n_tables", "text")]
+    return out.select(F.col("id").alias("doc_id"), F.concat_ws("|", *shown).alias("text"))
+
+
 def _body(df: DataFrame) -> DataFrame:
     lines = L.to_lines(df, "doc_id", "text")
     first = F.regexp_replace(F.regexp_replace("line", r"^#+|#+$", ""), r"^\*+|\*+$", "")
@@ -72,6 +88,7 @@ _CASES = {
     "m5_table_blocks": (TABLES, lambda df: df.select("doc_id", S.table_blocks(F.col("text")).alias("text"))),
     "t10_dehyphenate_lines": (HYPHENS, lambda df: _by_id(S.each_text(df, "doc_id", "text", S.dehyphenated))),
     "t13_normal_tex": (TEX, lambda df: df.select("doc_id", P.normal_tex(F.col("text")).alias("text"))),
+    "k3_document_stages": (STAGED, _staged),
     "x4_latex_tables": (GRIDS, lambda df: latex_tables(df, "doc_id", "text").select(F.col("id").alias("doc_id"), F.array_join("tables", "\n").alias("text"))),
 }
 

