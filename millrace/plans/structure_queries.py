@@ -62,14 +62,15 @@ GRIDS: Cases = [
 _TEI = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><titleStmt><title>On {T}</title></titleStmt></teiHeader><text><body><div><head n="1">Intro</head><p>%s</p></div>%s</body></text></TEI>'
 STAGED: Cases = [
     (_TEI % ("We say {T} of it.", ""), "true||0|0|#Title\nOn {T}\n##Contents\n1 Intro\n#Main Body\n## 1 Intro We say {T} of it."),
-    (_TEI % ("so so so so so so so end", '<figure xml:id="f1"><head>Figure 1</head><figDesc>{T}</figDesc></figure>'), "true||1|0|#Title\nOn {T}\n##Contents\n1 Intro\n##Figures\n[START_FIGURE]\nFigure 1\n\n{T}\n\n[END_FIGURE]\n#Main Body\n## 1 Intro so end"),
+    (_TEI % ("so so so so so so so end", '<figure xml:id="f1"><head>Figure 1</head><figDesc>{T}</figDesc></figure>'), "true||1|0|#Title\nOn {T}\n##Contents\n1 Intro\n##Figures\n[START_FIGURE]\nFigure 1\n\n{T}\n\n[END_FIGURE]\n#Main Body\n## 1 Intro so so so so so so so end"),
     ("<TEI>{T}", "false|parse 0: no readable TEI|||<TEI>{T}"),
     ("  ", "false|no text|||  "),
 ]
 
 
 def _staged(df: DataFrame) -> DataFrame:
-    out = run_documents(df, "doc_id", "text", [("parse", "0"), ("tag", "0"), ("clean", "0")])
+    """K2 to K5; the clean stage would collapse loops in the documents' own words, and is tested apart."""
+    out = run_documents(df, "doc_id", "text", [("parse", "0"), ("tag", "0")])
     shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("status", "message", "n_figures", "n_tables", "text")]
     return out.select(F.col("id").alias("doc_id"), F.concat_ws("|", *shown).alias("text"))
 

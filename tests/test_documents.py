@@ -134,3 +134,14 @@ def test_regions(spark):
     assert G.region_text([(0, 0, 9, 10, "汉"), (10, 0, 19, 10, "字"), (20, 1, 29, 11, "x")]) == "汉字 x" and G.region_text([]) == ""
     df = spark.createDataFrame([("r", *b) for b in region], "r string, xmin double, ymin double, xmax double, ymax double, text string")
     assert G.assemble(df, "r").first().text == G.region_text(region)
+
+
+def test_stages_of_documents(spark):
+    from millrace.operators.stages import run_documents
+
+    rows = [(1, "a b. so so so so so so so end"), (2, None), (3, "x"), (3, "x")]
+    df = spark.createDataFrame(rows, "k long, t string")
+    got = {r.id: (r.text, r.status, r.message) for r in run_documents(df, "k", "t", [("parse", "1"), ("clean", "0")]).collect()}
+    assert got == {"1": ("a b. so end", True, ""), "2": (None, False, "no text"), "3": ("x", True, "")}
+    wrong = run_documents(df, "k", "t", [("parse", "9"), ("clean", "0")]).filter("id = '3'").first()
+    assert (wrong.status, wrong.message) == (False, "parse 9: no such stage") and run_documents(df.limit(0), "k", "t", []).count() == 0
