@@ -345,6 +345,24 @@ def reference_fields(article: Node) -> list[dict[str, str]]:
     return [{"id": x.attrs.get("id", ""), "title": " ".join(x.text().split())} for x in article.find("li") if "ltx_bibitem" in x.classes]
 
 
+def plain_text(html: str | None) -> str | None:
+    """H1: all text of a page but styles and scripts, its pieces with a blank between them."""
+    if not html:
+        return html
+    tree = _Tree()
+    tree.feed(html)
+    tree.close()
+
+    def pieces(node: Node) -> Iterator[str]:
+        for c in node.children:
+            if isinstance(c, str):
+                yield c
+            elif c.tag not in ("style", "script"):
+                yield from pieces(c)
+
+    return " ".join(pieces(tree.root))
+
+
 def to_markdown(html: str | None) -> tuple[str, int, int] | None:
     """Markdown, number of figures and tables, and of references; null without an article or with a dead citation."""
     if not html:

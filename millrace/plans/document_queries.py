@@ -51,17 +51,6 @@ def l10_place_date_lines(spark: SparkSession, root: str) -> DataFrame:
     return rows.filter(F.col("line").rlike(r"^[a-zA-Z\- ,]+, [0-9\- ,]+$") & (F.length("line") < 100)).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-def m7_kept_lines(spark: SparkSession, root: str) -> DataFrame:
-    """M7: lines of each document that are no caption, reference, keyword, footnote or publisher line."""
-    rows = L.to_lines(table(spark, root, "documents"), "doc_id", "text")
-    c = F.col("line")
-    drop = (
-        c.rlike(r"^Table\s+[0-9]+\s*[:.]") | c.startswith("\\begin{table}") | c.rlike(L.CAPTION) | c.rlike("#+ References") | c.rlike(r"^\[[0-9]+\] \.") | c.contains("Keywords")
-        | c.rlike(L.REFERENCE) | c.rlike(r"\([0-9]{4}[a-z]?\)") | c.startswith("Footnote") | (c.contains("Publisher") & (T.digit_share(c) > 0.2))
-    )
-    return rows.groupBy("doc_id").agg(F.count_if(~drop).alias("n_kept"), F.count("*").alias("n_lines"))
-
-
 def _tei(spark: SparkSession, root: str) -> DataFrame:
     """A TEI document for each record, with its citations as references."""
     element = lambda tag, c, attrs="": F.coalesce(F.concat(F.lit(f"<{tag}{attrs}>"), xml_escape(c), F.lit(f"</{tag}>")), F.lit(""))
@@ -119,13 +108,6 @@ def a13_training_index(spark: SparkSession, root: str) -> DataFrame:
     return per.filter("n_chars > 0").select(F.concat("data_id", F.lit("/"), F.lpad(F.col("page").cast("string"), 2, "0"), F.lit(".png")).alias("image"), "n_chars")
 
 
-def m5_tables(spark: SparkSession, root: str) -> DataFrame:
-    """M5: the caption of each table element with the size of its grid."""
-    rows = table(spark, root, "grobid_elements").filter("element_type = 'table'").select("element_id", "text").distinct()
-    grid = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"^\|.*\|$") & ~x.rlike(r"^\|[-|]+\|$"))
-    return rows.select("element_id", F.regexp_extract("text", r"Table\s+(\d+)", 1).alias("label"), F.size(grid).cast("long").alias("n_rows"))
-
-
 def m14_clean_pages(spark: SparkSession, root: str) -> DataFrame:
     """M14/M16, D5, D6 over all texts (partly sequential, so without SQL)."""
     return clean_pages(table(spark, root, "documents"), "doc_id", "text").select(F.col("id").cast("long").alias("doc_id"), F.length("text").alias("n_chars"))
@@ -180,7 +162,7 @@ def a9_found_figures(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        m5_tables, m14_clean_pages, h2_page_rows, a7_bounds, a11_best_caption, a11_placed_captions, a9_found_figures, t5_markdown, t28_document_language, t29_language, d9_label_suffix, d12_first_values, l10_place_date_lines, m7_kept_lines, x7_tei_documents, h5_markdown, g12_region_text, x15_flagged_boxes,
+        m14_clean_pages, h2_page_rows, a7_bounds, a11_best_caption, a11_placed_captions, a9_found_figures, t5_markdown, t28_document_language, t29_language, d9_label_suffix, d12_first_values, l10_place_date_lines, x7_tei_documents, h5_markdown, g12_region_text, x15_flagged_boxes,
         a8_aligned_pages, a13_training_index,
     )
 }
@@ -199,8 +181,6 @@ _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docum
 _T5 = r"""regexp_replace(regexp_replace(text, '(?m)^\(([0-9.]+[a-zA-Z]?)\) \\\[(.+?)\\\]$', '\\[\2 \\tag{\1}\\]', 'g'), '(?m)^\\\[(.+?)\\\] \(([0-9.]+[a-zA-Z]?)\)$', '\\[\1 \\tag{\2}\\]', 'g')"""
 SQL = {
     "t5_markdown": rf"SELECT doc_id, md5(regexp_replace(replace(replace({_T5}, '\. ', '. '), '\bm{{', '\mathbf{{'), '(https?://[\w_-]+(?:\.[\w_-]+)+[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])', '[\1](\1)', 'g')) AS digest FROM documents",
-    "m5_tables": """SELECT element_id, regexp_extract(text, 'Table\\s+(\\d+)', 1) AS label, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\\|.*\\|$') AND NOT regexp_matches(x, '^\\|[-|]+\\|$'))) AS n_rows
-      FROM (SELECT DISTINCT element_id, text FROM grobid_elements WHERE element_type = 'table')""",
     "h2_page_rows": f"SELECT doc_id, site, {_language_sql('text')} AS language, len(text)::INT AS n_chars FROM documents WHERE site IS NOT NULL",
     "a11_best_caption": """WITH w AS (SELECT DISTINCT element_id, rec_id, element_type, list_distinct(list_filter(string_split_regex(lower(text), '[^\\pL]+'), lambda w: len(w) > 3)) AS words FROM (SELECT DISTINCT element_id, rec_id, element_type, text FROM grobid_elements WHERE text IS NOT NULL)),
       p AS (SELECT a.element_id AS figure, b.element_id AS other, len(list_intersect(a.words, b.words)) AS n FROM w a JOIN w b ON a.rec_id = b.rec_id AND a.element_id <> b.element_id WHERE a.element_type = 'figure')
@@ -212,9 +192,6 @@ SQL = {
       FROM (SELECT DISTINCT element_id, rec_id, coalesce(figure_lable, '') AS label FROM grobid_elements)""",
     "d12_first_values": "SELECT DISTINCT det_id, array_to_string(list_filter(ptrmfr_texts, lambda x, i: list_position(ptrmfr_texts, x) = i), '|') AS lines FROM layout_dets",
     "l10_place_date_lines": f"SELECT doc_id, count(*) AS n FROM {_LINES} WHERE regexp_matches(line, '^[a-zA-Z\\- ,]+, [0-9\\- ,]+$') AND len(line) < 100 GROUP BY 1",
-    "m7_kept_lines": f"""SELECT doc_id, count(*) FILTER (NOT (regexp_matches(line, '^Table\\s+[0-9]+\\s*[:.]') OR starts_with(line, '\\begin{{table}}') OR regexp_matches(line, '{L.CAPTION}') OR regexp_matches(line, '#+ References')
-      OR regexp_matches(line, '^\\[[0-9]+\\] \\.') OR contains(line, 'Keywords') OR regexp_matches(line, '{L.REFERENCE}') OR regexp_matches(line, '\\([0-9]{{4}}[a-z]?\\)') OR starts_with(line, 'Footnote')
-      OR (contains(line, 'Publisher') AND len(regexp_replace(line, '[^0-9]', '', 'g')) > 0.2 * len(line)))) AS n_kept, count(*) AS n_lines FROM {_LINES} GROUP BY 1""",
     "x7_tei_documents": "SELECT rec_id, '1 One' AS contents, count(DISTINCT biblio_id) AS n_references FROM biblio GROUP BY 1",
     "h5_markdown": """SELECT DISTINCT biblio_id, '# ' || regexp_replace(regexp_replace(title, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) || regexp_replace(regexp_replace(journal, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS markdown
       FROM biblio WHERE title IS NOT NULL AND journal IS NOT NULL""",

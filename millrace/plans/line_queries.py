@@ -104,13 +104,6 @@ def m6_references(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def m8_main_body(spark: SparkSession, root: str) -> DataFrame:
-    """M8: how many lines of each document are main body: not blank, not heading, not reference."""
-    rows = _lines(spark, root).filter(strip(F.col("line")) != "")
-    body = ~F.col("line").startswith("#") & ~F.col("line").rlike(L.REFERENCE)
-    return rows.groupBy("doc_id").agg(F.count_if(body).alias("n_body"), F.count("*").alias("n_lines"))
-
-
 def m11_page_concat(spark: SparkSession, root: str) -> DataFrame:
     """The pages of every scanned item as one text."""
     rows = table(spark, root, "layout_dets").select("data_id", "page", "box_id", "det_id", "content").distinct().filter("content is not null")
@@ -119,13 +112,6 @@ def m11_page_concat(spark: SparkSession, root: str) -> DataFrame:
     return rows.groupBy("data_id").agg(text.alias("text")).select("data_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
-def m12_page_status(spark: SparkSession, root: str) -> DataFrame:
-    """Status of a page by what was recognised on it."""
-    rows = table(spark, root, "layout_dets").select("det_id", "data_id", "page", "content").distinct()
-    per = rows.groupBy("data_id", "page").agg(F.count_if(strip(F.coalesce("content", F.lit(""))) != "").alias("n_text"), F.count("*").alias("n"))
-    return per.select("data_id", "page", F.when(F.col("n_text") == 0, "EMPTY").when(F.col("n_text") < F.col("n") / 2, "FAIL").otherwise("OK").alias("status"))
-
-
 def m13_patch_failed(spark: SparkSession, root: str) -> DataFrame:
     """Detections whose content is missing patched from a second source by position."""
     rows = table(spark, root, "layout_dets").select("det_id", "data_id", "page", "content").distinct()
@@ -148,7 +134,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         l1_l6_line_rules, l7_seed_lines, l8_gap_fill, l8_clean_text, d1a_longest_runs, d11_exact_copies, m1_title, m2_keywords, m3_contents, m4_figures, m6_references,
-        m8_main_body, m11_page_concat, m12_page_status, m13_patch_failed, a5_header_words,
+        m11_page_concat, m13_patch_failed, a5_header_words,
     )
 }
 
@@ -206,12 +192,8 @@ SQL = {
       f AS (SELECT *, bool_or(head OR hit) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS flag FROM h),
       r AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS ref_no, {_STRIP.format("regexp_replace(line, '^[*_]+|[*_]+$', '', 'g')")} AS body FROM f WHERE hit AND NOT head AND coalesce(flag, FALSE))
       SELECT doc_id, ref_no, ref_no || '.[' || regexp_extract(body, '\\[([0-9]+)\\]', 1) || '](' || regexp_replace(body, '^.*?\\[[0-9]+\\]\\s*', '') || ')' AS entry FROM r""",
-    "m8_main_body": f"""{_LINES} SELECT doc_id, count(*) FILTER (NOT starts_with(line, '#') AND NOT regexp_matches(line, '{L.REFERENCE}')) AS n_body, count(*) AS n_lines
-      FROM ln WHERE {_STRIP.format('line')} <> '' GROUP BY 1""",
     "m11_page_concat": f"""SELECT data_id, len(t)::INT AS n_chars, md5(t) AS digest FROM (SELECT data_id, {_STRIP.format("regexp_replace(string_agg(content, chr(10) || chr(10) ORDER BY page, box_id, det_id, content), '\\n{3,}', chr(10) || chr(10), 'g')")} AS t
       FROM {_DETS} WHERE content IS NOT NULL GROUP BY 1)""",
-    "m12_page_status": f"""SELECT data_id, page, CASE WHEN k = 0 THEN 'EMPTY' WHEN k < n / 2 THEN 'FAIL' ELSE 'OK' END AS status
-      FROM (SELECT data_id, page, count(*) FILTER ({_STRIP.format("coalesce(content, '')")} <> '') AS k, count(*) AS n FROM {_DETS} GROUP BY 1, 2)""",
     "m13_patch_failed": "SELECT DISTINCT det_id, CASE WHEN content IS NULL THEN array_to_string(ptrmfr_texts, ' ') ELSE content END AS content FROM layout_dets",
     "a5_header_words": f"""WITH f AS (SELECT data_id, page, arg_min(content, (box_id, det_id)) AS content FROM {_DETS} WHERE content IS NOT NULL GROUP BY 1, 2),
       w AS (SELECT DISTINCT data_id, page, unnest(list_filter(string_split_regex(lower(content), '\\s+'), lambda w: w <> '')[1:10]) AS word FROM f),

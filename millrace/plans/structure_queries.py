@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.functions.runtime import scratch_folder
 from millrace.operators import align as A
 from millrace.operators import boxes as B
 from millrace.operators import lines as L
 from millrace.operators import pages as P
 from millrace.operators import structure as S
+from millrace.operators.latexml import plain_text
 from millrace.operators.stages import run_documents
-from millrace.operators.tei_body import latex_tables
+from millrace.operators.tei_body import latex_tables, read_documents
 from millrace.plans.case_queries import Cases, _by_id, _paged, _query, _sql
+from millrace.sources.files import merged_json, read_jsonl
 from millrace.sources.tables import table
 
 _TOP = "# {T} of one title here\nA. Author\n\n"
@@ -68,6 +73,49 @@ STAGED: Cases = [
 ]
 
 
+_FULL = (
+    '<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><titleStmt><title>On <hi>{T}</hi></title></titleStmt><abstract><p>Short {T}.</p></abstract></teiHeader><text><body><div><head n="1.">Start</head>'
+    '<p>See <ref type="bibr" target="#b0">[1]</ref> and <ref target="#zz">[9]</ref> with <formula>x = 1</formula>.</p></div><div><head n="1.2">Deeper</head><p><s>One {T}.</s><s>Two.</s></p><formula>y</formula></div>'
+    '<figure xml:id="f1"><head>Figure 1</head><figDesc>A plot</figDesc></figure><figure type="table"><label>2</label><figDesc>Data</figDesc><table><row><cell>a</cell><cell cols="2">b</cell></row><row><cell>1</cell></row></table>'
+    '</figure><note>Aside {T}</note></body><back><listBibl><biblStruct xml:id="b0"><analytic><title level="a">A {T}</title><author><persName><forename type="first">Ann</forename><surname>Bell</surname></persName></author>'
+    '</analytic><monogr><title level="j">J. Works</title><imprint><date when="1999">1999</date></imprint></monogr></biblStruct></listBibl></back></text></TEI>'
+)
+WHOLE: Cases = [
+    (
+        _FULL,
+        "#Title\nOn {T}\n##Contents\n1 Start\n\t1.2 Deeper\n##Figures\n[START_FIGURE]\nFigure 1\n\nA plot\n\n[END_FIGURE]\n##Tables\n[START_TABLE]\nTable 2\n\nData\n\n|a|b|b|\n|-|-|-|\n|1|None|None|\n\n[END_TABLE]\n"
+        "##Reference\n0.[0](<b0>Ann Bell.A {T},J. Works)\n#Main Body\nShort {T}.\n\n## 1 Start\n\nSee [START_REF][1][END_REF] and [9] with [START_FORMULA]x = 1[END_FORMULA].\n\n### 1.2 Deeper\n\nOne {T}. Two.\n\n"
+        "[START_FORMULA]y[END_FORMULA]\n[START_NOTE]Aside {T}[END_NOTE]",
+    ),
+    ("<TEI>{T}", ""),
+]
+PLAIN_HTML: Cases = [
+    ("<html><head><style>p {}</style><script>var a = '<b>';</script></head><body><p>One <b>{T}</b></p>\n\n\n<p>two &amp; three</p></body></html>", "One {T}\ntwo & three"),
+    ("{T}  no   tags", "{T} no tags"),
+    ("<p>{T}<!-- gone --><br/>next</p>", "{T} next"),
+]
+
+
+def _whole(df: DataFrame) -> DataFrame:
+    docs = read_documents(df, "doc_id", "text")
+    return docs.select(F.col("id").alias("doc_id"), F.concat_ws("\n", "text", F.array_join("notes", "\n")).alias("text"))
+
+
+def s20_json_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Documents as JSON lines, every tenth line broken, read again by name: broken ones give nulls."""
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    line = F.when(F.col("doc_id") % 10 == 0, "{\"doc_id\": 1, \"text\": \"cut").otherwise(F.to_json(F.struct("doc_id", "source", "text")))
+    table(spark, root, "documents").select(line.alias("value")).write.text(path)
+    rows = read_jsonl(spark, path, "doc_id long, source string, text string")
+    return rows.groupBy("source").agg(F.count("*").alias("n"), F.count("doc_id").alias("n_read"), F.sum(F.length("text")).alias("n_chars"), F.count("_corrupt").alias("n_broken"))
+
+
+def s21_merged_json(spark: SparkSession, root: str) -> DataFrame:
+    """The detections of each page as one JSON array."""
+    rows = table(spark, root, "layout_dets").select(F.concat_ws(" ", "data_id", "page").alias("page"), "det_id", "category_id").distinct()
+    return merged_json(rows, "page").select("page", F.md5("json").alias("digest"))
+
+
 def _staged(df: DataFrame) -> DataFrame:
     """K2 to K5; the clean stage would collapse loops in the documents' own words, and is tested apart."""
     out = run_documents(df, "doc_id", "text", [("parse", "0"), ("tag", "0")])
@@ -89,6 +137,8 @@ _CASES = {
     "m5_table_blocks": (TABLES, lambda df: df.select("doc_id", S.table_blocks(F.col("text")).alias("text"))),
     "t10_dehyphenate_lines": (HYPHENS, lambda df: _by_id(S.each_text(df, "doc_id", "text", S.dehyphenated))),
     "t13_normal_tex": (TEX, lambda df: df.select("doc_id", P.normal_tex(F.col("text")).alias("text"))),
+    "x20_tei_documents": (WHOLE, _whole),
+    "h1_parsed_text": (PLAIN_HTML, lambda df: _by_id(S.each_text(df, "doc_id", "text", plain_text).withColumn("text", T.strip(T.collapse_blank(F.col("text")))))),
     "k3_document_stages": (STAGED, _staged),
     "x4_latex_tables": (GRIDS, lambda df: latex_tables(df, "doc_id", "text").select(F.col("id").alias("doc_id"), F.array_join("tables", "\n").alias("text"))),
 }
@@ -188,7 +238,7 @@ QUERIES = {name: _query(name, *case) for name, case in _CASES.items()} | {
     f.__name__: f
     for f in (
         d12_first_places, d12_inverted, d12_maximal_sets, l9_sentences, l11_strict_rules, t22_bracket_pieces, m12_page_marks, m15_repeat_cuts, t16_offsets, e3_bleu, g2b_rect_algebra, g8_cut_texts,
-        g17_page_order,
+        g17_page_order, s20_json_lines, s21_merged_json,
     )
 }
 _RECTS = """(SELECT DISTINCT det_id, data_id, page, box_id, category_id, list_min([poly[1], poly[3], poly[5], poly[7]]) AS xmin, list_min([poly[2], poly[4], poly[6], poly[8]]) AS ymin,
@@ -217,6 +267,10 @@ SQL = {name: _sql(cases) for name, (cases, _) in _CASES.items()} | {
       WHEN doc_id % 5 = 1 THEN chr(10) || chr(10) || '[MISSING_PAGE_FAIL:' || (doc_id + 1) || ']' || chr(10) || chr(10) ELSE text END) AS digest FROM documents""",
     "g2b_rect_algebra": f"""SELECT DISTINCT det_id, round((xmax - xmin) * (ymax - ymin), 4) AS area, round(least(xmin, 0.0), 4) AS xmin, round(least(ymin, 0.0), 4) AS ymin, round(greatest(xmax, 1.0), 4) AS xmax,
       round(greatest(ymax, 1.0), 4) AS ymax, 100 BETWEEN xmin AND xmax AND 100 BETWEEN ymin AND ymax AS holds, round(xmin + 0.1 * (xmax - xmin), 4) AS core_x, round(ymax - 0.1 * (ymax - ymin), 4) AS core_y FROM {_RECTS}""",
+    "s20_json_lines": """SELECT CASE WHEN doc_id % 10 <> 0 THEN source END AS source, count(*) AS n, count(*) FILTER (doc_id % 10 <> 0) AS n_read, sum(CASE WHEN doc_id % 10 <> 0 THEN len(text) END)::BIGINT AS n_chars,
+      count(*) FILTER (doc_id % 10 = 0) AS n_broken FROM documents GROUP BY 1""",
+    "s21_merged_json": """SELECT page, md5('[' || string_agg(row, ',' ORDER BY row) || ']') AS digest FROM (SELECT DISTINCT concat_ws(' ', data_id, page) AS page,
+      '{"det_id":' || det_id || CASE WHEN category_id IS NULL THEN '' ELSE ',"category_id":' || category_id END || '}' AS row FROM layout_dets) GROUP BY page""",
     "g17_page_order": f"""SELECT det_id, data_id, page, row_number() OVER (PARTITION BY data_id, page ORDER BY ymin, xmin, det_id)::INT AS place
       FROM (SELECT data_id, page, det_id, min(ymin) AS ymin, min(xmin) AS xmin FROM {_RECTS} GROUP BY ALL)""",
 }
