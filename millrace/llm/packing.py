@@ -82,6 +82,8 @@ def pack_documents(documents: DataFrame, containers: DataFrame, path: str = RANK
     items = sizes.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
     # kinds of containers are a short list given by the user; each shard of each kind is one bounded group
     keyed = items.crossJoin(F.broadcast(kinds))
+    # a task for about each group; adaptive execution would put many small ones into one
+    keyed = keyed.repartition(shards * max(1, kinds.count()), "container_kind", "shard")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "n_tokens"], kind="stable", ignore_index=True)
