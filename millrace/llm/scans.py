@@ -1,7 +1,8 @@
 """Noise in text from scanned pages (p6): broken words, misread glyphs, running headers, page numbers.
 
 Method. Words of the whole corpus are grouped by a confusable-glyph skeleton; in a group a rare form
-that glyph confusions turn into a much more frequent form is a misreading of it. A line-end break
+that glyph confusions turn into a much more frequent form is a misreading of it. Numbers and letters set apart have no
+group of words; they are judged by their own shape. A line-end break
 is mended if the joined word is the supported form, and kept if the hyphenated compound is. Lines
 with digits masked that come first on several pages of an item are its running headers; numbers
 that keep a constant distance from the page index are its page numbers. Paragraphs are then
@@ -52,8 +53,9 @@ _FOLD = str.maketrans({
 
 _TOKEN = re.compile(r"[^\s.,;:()\[\]{}\"“”„«»?=+<>/\\]+")
 _TRIM = "!'’‘*_~^&#%-–—‐­¬|†@"
-_GLYPH_INSIDE = re.compile(r"[^\W\d_][@†|!01569][^\W\d_]|[^\W\d_]{2}[@†|]|[@†|!][^\W\d_]{2}")
-_PART_NUMBER = re.compile(r"^(?:[a-z]{1,2}\d+[a-z]?|[a-z]\d[a-z]|\d+[a-z])$")
+#: A form with a sign or digit among its letters is no word of its own, however frequent (part numbers as b12 and 3b are).
+_GLYPH_INSIDE = r"\p{L}[@†|!01569]\p{L}|\p{L}{2}[@†|]|[@†|!]\p{L}{2}"
+_PART_NUMBER = r"^(?:[a-z]{1,2}\d+[a-z]?|[a-z]\d[a-z]|\d+[a-z])$"
 _MISREAD_NUMBER = re.compile(r"(?<![\w.,])(?=[\dlOoI|]*\d)(?=[\d.,]*[lOoI|])[\dlOoI|]+(?:[.,][\dlOoI|]+)?(?![\w|])|(?<![\w.,])\d+[.,](?=\d*[lOoI|])[\dlOoI|]+(?![\w|])")
 _DIGIT_NEXT = re.compile(r"\d[.,]?[lOoI|]|[lOoI|][.,]?\d")  # without it no number is misread
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_] ){3,}[^\W\d_](?!\w)")
@@ -135,8 +137,6 @@ def _facts(lines: list[str]) -> tuple:
     text = " ".join(lines)
     words, pairs = words_of(lines)
     direct = _has_spaced(text) or bool(_DIGIT_NEXT.search(text) and _MISREAD_NUMBER.search(text))
-    if not direct:
-        direct = any(_GLYPH_INSIDE.search(w) and sum(c.isalpha() for c in w) >= 3 and not _PART_NUMBER.match(w) for w in words)
     first, last = lines[0].strip(), lines[-1].strip()
     numbers = []
     for place, line in (("first", first), ("last", last)) if len(lines) > 1 else (("only", first),):
@@ -217,11 +217,12 @@ def _explained(seen, true):
 
 
 def misreadings(vocab: DataFrame) -> DataFrame:
-    """(word, right): rare forms with the most frequent form of their skeleton group that explains them."""
+    """(word, right): rare forms, and forms with a glyph inside, with the most frequent form of their skeleton group that explains them."""
     keyed = vocab.filter(F.length("word") >= 3).withColumn("skeleton", _skeletons("word"))
     letters = F.col("word").rlike(r"^[\p{L}'’\-]+$")
     right = keyed.filter(letters & (F.col("n") >= SUPPORT_COUNT)).select("skeleton", F.col("word").alias("right"), F.col("n").alias("n_right"))
-    pairs = keyed.join(right, "skeleton").filter((F.col("word") != F.col("right")) & (F.col("n") * SUPPORT_RATIO <= F.col("n_right")))
+    glyph = F.col("word").rlike(_GLYPH_INSIDE) & (F.length(F.regexp_replace("word", r"[^\p{L}]", "")) >= 3) & ~F.col("word").rlike(_PART_NUMBER)
+    pairs = keyed.join(right, "skeleton").filter((F.col("word") != F.col("right")) & ((F.col("n") * SUPPORT_RATIO <= F.col("n_right")) | glyph))
     pairs = pairs.filter(_explained("word", "right"))
     return pairs.groupBy("word").agg(F.max_by("right", F.struct("n_right", "right")).alias("right"))
 

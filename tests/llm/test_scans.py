@@ -43,6 +43,9 @@ def rows(pages=4):
         ids["compound"] = add(2, 220, 1, ["a long-", "term channel."])
     ids["misread"] = add(2, 230, 1, ["the kcrnel of a channel."])
     ids["glyph"] = add(2, 240, 1, ["some un!que words."])
+    for y in range(241, 245):  # a form with a glyph inside is a misreading where its right form has support
+        add(2, y, 1, ["some unique words."])
+    add(2, 246, 1, ["un5upported form."])
     ids["number"] = add(3, 250, 1, ["about 1O.5 units of H2O and B12, plot 3b."])
     ids["spaced"] = add(3, 260, 1, ["a s t a b l e channel."])
     ids["year"] = add(3, 270, 1, ["1994"])
