@@ -191,7 +191,10 @@ class Index:
         # children of each container in order
         kids = np.flatnonzero(self.value & (self.parent >= 0))
         self.kids = kids[np.argsort(self.parent[kids], kind="stable")]
-        self.kid_parent = self.parent[self.kids]
+        # what is read node by node, as plain lists
+        self._begin = np.searchsorted(self.parent[self.kids], np.arange(m + 1)).tolist()
+        self._kids, self._name, self._kind = self.kids.tolist(), self.name.tolist(), self.kind.tolist()
+        self._pos, self._end, self._byte = pos.tolist(), self.end.tolist(), self.byte.tobytes()
 
     def _names(self, spans: np.ndarray) -> tuple[np.ndarray, list[str]]:
         """Distinct normalised keys, compared as fixed-width byte rows."""
@@ -221,45 +224,49 @@ class Index:
             node = int(self.parent[node])
         return self.names[self.name[node]] if node >= 0 else ""
 
-    def children(self, node: int) -> np.ndarray:
-        lo, hi = np.searchsorted(self.kid_parent, (node, node + 1))
-        return self.kids[lo:hi]
+    def children(self, node: int) -> list[int]:
+        return self._kids[self._begin[node] : self._begin[node + 1]]
+
+    def is_open(self, node: int) -> bool:
+        return self._kind[node] == _OPEN
 
     def is_object(self, node: int) -> bool:
-        return self.byte[node] == 0x7B
+        return self._byte[node] == 0x7B
 
     def is_array(self, node: int) -> bool:
-        return self.byte[node] == 0x5B
+        return self._byte[node] == 0x5B
 
     def members(self, node: int) -> dict[str, int]:
         """Fields of an object by normalised name; of a repeated name the last counts."""
         if node < 0 or not self.is_object(node):
             return {}
-        return {self.names[self.name[k]]: k for k in self.children(node).tolist() if self.name[k] >= 0}
+        names, name = self.names, self._name
+        return {names[name[k]]: k for k in self.children(node) if name[k] >= 0}
 
     def items(self, node: int) -> list[int]:
         """Elements of an array; any other value is an array of one; null is none."""
         if self.is_array(node):
-            return self.children(node).tolist()
+            return self.children(node)
         return [] if self.text(node) is None else [node]
 
     def text(self, node: int) -> str | None:
         """A scalar as text (null: none); a container as its JSON."""
-        if self.kind[node] == _STRING:
-            raw = self.blob[self.pos[node] : self.end[node] + 1]
+        kind = self._kind[node]
+        if kind == _STRING:
+            raw = self.blob[self._pos[node] : self._end[node] + 1]
             return raw[1:-1].decode("utf-8", "replace") if b"\\" not in raw else json.loads(raw)
-        if self.kind[node] == _SCALAR:
-            raw = self.blob[self.pos[node] : self.end[node] + 1].decode()
+        if kind == _SCALAR:
+            raw = self.blob[self._pos[node] : self._end[node] + 1].decode()
             return None if raw == "null" else raw
-        return self.blob[self.pos[node] : self.close(node) + 1].decode("utf-8", "replace")
+        return self.blob[self._pos[node] : self.close(node) + 1].decode("utf-8", "replace")
 
     def close(self, node: int) -> int:
         """Byte of the bracket that closes a container."""
         depth, i = 0, node
         while True:
-            depth += int(self.kind[i] == _OPEN) - int(self.kind[i] == _CLOSE)
+            depth += (self._kind[i] == _OPEN) - (self._kind[i] == _CLOSE)
             if depth == 0:
-                return int(self.pos[i])
+                return self._pos[i]
             i += 1
 
 
@@ -326,7 +333,7 @@ def _record(index: Index, root: int) -> int:
         for node in level:
             if index.is_object(node) and RECORD_KEYS & index.members(node).keys():
                 return node
-        level = [k for node in level if index.kind[node] == _OPEN for k in index.children(node).tolist() if index.kind[k] == _OPEN]
+        level = [k for node in level if index.is_open(node) for k in index.children(node) if index.is_open(k)]
     return -1
 
 
@@ -348,17 +355,22 @@ _PERSON_SKIP = frozenset(AFFILIATION_KEYS)
 _AFFIL_SKIP = frozenset(ADDRESS_KEYS)
 
 
+_UPPER = frozenset(("document", "biblio"))
+LEVELS = frozenset(("document", "biblio", "person", "affiliation", "address"))
+
+
 def _first(members: dict[str, int], names: tuple[str, ...]) -> int:
     return next((members[n] for n in names if n in members), -1)
 
 
-def _nodes(index: Index, root: int) -> Iterator[tuple]:
-    """Rows (level, biblio_no, role, person_no, affil_no, fields) of one valid payload."""
+def _nodes(index: Index, root: int, wanted: frozenset[str]) -> Iterator[tuple]:
+    """Rows (level, biblio_no, role, person_no, affil_no, fields) of the wanted levels of one valid payload."""
     record = _record(index, root)
     if record < 0:
         return
     top = index.members(record)
-    yield "document", None, None, None, None, _scalars(index, top, _DOC_SKIP)
+    if "document" in wanted:
+        yield "document", None, None, None, None, _scalars(index, top, _DOC_SKIP)
     head = _first(top, HEADER_KEYS)
     biblios: list[tuple[int, dict[str, int]]] = []
     if head >= 0:
@@ -370,7 +382,7 @@ def _nodes(index: Index, root: int) -> Iterator[tuple]:
     if cites >= 0:
         nodes = index.items(cites)
         if index.is_object(cites):
-            inner = index.children(cites).tolist()
+            inner = index.children(cites)
             if INDEX_KEY not in index.members(cites) and all(index.is_object(x) for x in inner):
                 nodes = inner  # a map from citation id to citation
         for place, node in enumerate(nodes):
@@ -380,26 +392,33 @@ def _nodes(index: Index, root: int) -> Iterator[tuple]:
                 number = int(given) if given is not None and re.fullmatch(r"\s*\d+\s*", given) else place
                 biblios.append((number + 1, members))
     for number, members in biblios:
-        yield "biblio", number, None, None, None, _scalars(index, members, _DOC_SKIP)
+        if "biblio" in wanted:
+            yield "biblio", number, None, None, None, _scalars(index, members, _DOC_SKIP)
+        if wanted <= _UPPER:
+            continue
         for name, role in ROLE_KEYS.items():
             if name not in members:
                 continue
             for p, person in enumerate(index.items(members[name]), 1):
                 fields = index.members(person)
-                text = None if index.kind[person] == _OPEN else index.text(person)
+                text = None if index.is_open(person) else index.text(person)
                 if not fields and text is None:
                     continue
-                yield "person", number, role, p, None, _scalars(index, fields, _PERSON_SKIP) if fields else {"fullname": text}
+                if "person" in wanted:
+                    yield "person", number, role, p, None, _scalars(index, fields, _PERSON_SKIP) if fields else {"fullname": text}
                 affils = _first(fields, AFFILIATION_KEYS)
                 for a, affil in enumerate(index.items(affils) if affils >= 0 else [], 1):
                     inner = index.members(affil)
-                    if index.kind[affil] != _OPEN:
-                        if (text := index.text(affil)) is not None:
+                    if not index.is_open(affil):
+                        if "affiliation" in wanted and (text := index.text(affil)) is not None:
                             yield "affiliation", number, role, p, a, {"institution": text}
                         continue
                     if not inner:
                         continue
-                    yield "affiliation", number, role, p, a, _scalars(index, inner, _AFFIL_SKIP)
+                    if "affiliation" in wanted:
+                        yield "affiliation", number, role, p, a, _scalars(index, inner, _AFFIL_SKIP)
+                    if "address" not in wanted:
+                        continue
                     address = _first(inner, ADDRESS_KEYS)
                     values: dict[str, str] = {}
                     for x in index.items(address) if address >= 0 else []:
@@ -430,10 +449,9 @@ def _flatten(levels: frozenset[str] | None):
                 out: list[list] = [[] for _ in schema]
                 for k, row in enumerate(rows):
                     if index.valid[k] and not index.replaced[k] and index.kind[index.root[k]] == _OPEN:
-                        for level, *keys, fields in _nodes(index, int(index.root[k])):
-                            if levels is None or level in levels:
-                                for column, value in zip(out, (ids[row], level, *keys, list(fields.items()))):
-                                    column.append(value)
+                        for level, *keys, fields in _nodes(index, int(index.root[k]), levels or LEVELS):
+                            for column, value in zip(out, (ids[row], level, *keys, list(fields.items()))):
+                                column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
     return run
