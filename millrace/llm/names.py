@@ -68,14 +68,14 @@ def radius_join(names: DataFrame, group: list[str], name: str, radius: int = RAD
     sizes = sizes.withColumn("n_pivots", F.least(F.ceil(F.lit(PIVOT_ROOTS) * F.sqrt("n_names")), F.ceil(F.col("n_names") / PIVOT_NAMES)))
     drawn = digest * F.col("n_names") < F.col("n_pivots") * F.lit(1 << 30)  # about n_pivots names, without ranking a cell
     pivots = distinct.join(sizes, group).filter(drawn | (F.col("name") == F.col("one"))).select(*group, F.col("name").alias("pivot"))
-    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PIVOT_SALT - 1))))
-    salted = distinct.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(PIVOT_SALT)).cast("int"))
-    spread = salted.join(pivots, [*group, "salt"]).select(*group, "name", "asks", "answers", F.col("pivot").alias("pivot_no"), F.levenshtein("name", "pivot").alias("d"))
-    per = W.partitionBy(*group, "name")
-    placed = spread.withColumn("least", F.min("d").over(per)).filter(F.col("d") <= F.col("least") + 2 * radius)
-    placed = placed.withColumn("home", F.row_number().over(per.orderBy("d", "pivot_no")) == 1)
-    copies = placed.filter("asks").select(*group, "pivot_no", "name")
-    homes = placed.filter("home and answers").select(*group, "pivot_no", F.col("name").alias("other"))
+    # a cell's pivots go as one list to each of its names, so that no row per name and pivot is made or shuffled
+    lists = pivots.groupBy(*group).agg(F.array_sort(F.collect_list("pivot")).alias("pivots")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PIVOT_SALT - 1))))
+    salted = distinct.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(PIVOT_SALT)).cast("int")).join(lists, [*group, "salt"])
+    apart = F.transform(F.array(F.transform("pivots", lambda p: F.levenshtein("name", p))), lambda d: F.struct(d.alias("d"), F.array_min(d).alias("least")))
+    homed = F.transform(apart, lambda x: F.array_position(x["d"], x["least"]))[0].cast("int")
+    near = F.transform(apart, lambda x: F.filter(F.sequence(F.lit(1), F.size(x["d"])), lambda i: F.element_at(x["d"], i) <= x["least"] + 2 * radius))[0]
+    copies = salted.filter("asks").select(*group, "name", F.explode(near).alias("pivot_no"))
+    homes = salted.filter("answers").select(*group, homed.alias("pivot_no"), F.col("name").alias("other"))
     pairs = copies.join(homes, [*group, "pivot_no"]).filter((F.col("name") != F.col("other")) & (F.abs(F.length("name") - F.length("other")) <= radius))
     pairs = pairs.withColumn("distance", F.levenshtein("name", "other", radius)).filter("distance >= 0")
     return pairs.select(*group, "name", "other", "distance")
