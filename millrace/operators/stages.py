@@ -110,12 +110,14 @@ def page_text(text: str) -> str:
 
 
 def region_text(text: str) -> str:
-    """parse 2: the text of page regions: lone blanks that stand between every letter away, hyphens at line ends closed."""
+    """parse 2: the text of page regions: where blanks between words are doubled, lone ones go; hyphens at line ends are closed."""
     import re
 
     from millrace.operators.structure import dehyphenated
 
-    return dehyphenated(re.sub(r"(?<! ) (?! )", "", text).replace("  ", " ") if re.fullmatch(r"(?:\S ?)+", text) and text.count(" ") * 2 >= len(text) - 1 else text)
+    if "  " in text:
+        text = re.sub(r"(?<! ) (?! )", "", text).replace("  ", " ")
+    return dehyphenated(text)
 
 
 def without_phrases(text: str) -> str:
