@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.boxes import area, common_area, overlap
+from millrace.operators.boxes import area, common_area, neighbours, overlap
 
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 RAGGED = 15
@@ -28,8 +28,7 @@ def covers(a: str = "a_", b: str = "b_") -> Column:
 
 def flagged_boxes(boxes: DataFrame, spans: DataFrame, page: list[str]) -> DataFrame:
     """1 for each box that covers a mathematical span of its page, else 0."""
-    side = lambda df, k: df.select(*page, *[F.col(c).alias(f"{k}{c}") for c in df.columns if c not in page])
-    hits = side(boxes, "a_").join(side(spans, "b_"), page).filter(covers()).select(*page, F.col("a_box").alias("box")).distinct().withColumn("flag", F.lit(1))
+    hits = neighbours(boxes, spans, page).filter(covers()).select(*page, F.col("a_box").alias("box")).distinct().withColumn("flag", F.lit(1))
     return boxes.join(hits, [*page, "box"], "left").withColumn("flag", F.coalesce("flag", F.lit(0)))
 
 

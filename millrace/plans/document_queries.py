@@ -88,8 +88,8 @@ def x15_flagged_boxes(spark: SparkSession, root: str) -> DataFrame:
     """Boxes of orders that cover one of the even-numbered ones of their page."""
     from millrace.plans.box_queries import _boxes
 
-    df = _boxes(spark, root).select("page", "box", "xmin", "ymin", "xmax", "ymax").dropDuplicates(["page", "box"])
-    return G.flagged_boxes(df.filter("box % 2 = 1"), df.filter("box % 2 = 0"), ["page"]).groupBy("flag").agg(F.count("*").alias("n"))
+    df = _boxes(spark, root).groupBy("page", "box").agg(F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
+    return G.flagged_boxes(df.filter("box % 2 = 1"), df.filter("box % 2 = 0"), ["page"]).groupBy("page").agg(F.sum("flag").alias("n_flagged"), F.count("*").alias("n"))
 
 
 def a8_aligned_pages(spark: SparkSession, root: str) -> DataFrame:
@@ -179,7 +179,15 @@ def _language_sql(column: str) -> str:
 _SCRIPT = "CASE " + " ".join(f"WHEN x IN ({', '.join(repr(c) for c in v.split())}) THEN '{k}'" for k, v in T.SCRIPT_LANGUAGES.items()) + " ELSE x END"
 _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)"
 _T5 = r"""regexp_replace(regexp_replace(text, '(?m)^\(([0-9.]+[a-zA-Z]?)\) \\\[(.+?)\\\]$', '\\[\2 \\tag{\1}\\]', 'g'), '(?m)^\\\[(.+?)\\\] \(([0-9.]+[a-zA-Z]?)\)$', '\\[\1 \\tag{\2}\\]', 'g')"""
+_COVERS = """greatest(least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin), 0) * greatest(least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin), 0) > 0
+  AND abs((a.ymax + a.ymin) / 2 - (b.ymax + b.ymin) / 2) <= least(a.ymax - a.ymin, b.ymax - b.ymin) / 2
+  AND (least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin) + 1) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin) + 1)
+    / least((a.xmax - a.xmin + 1) * (a.ymax - a.ymin + 1), (b.xmax - b.xmin + 1) * (b.ymax - b.ymin + 1)) >= 0.5"""
+_LINE_BOXES = """(SELECT l_orderkey AS page, l_linenumber::BIGINT AS box, min(l_partkey % 40)::DOUBLE AS xmin, min(l_suppkey % 30)::DOUBLE AS ymin,
+  max(l_partkey % 40 + 5 + l_quantity)::DOUBLE AS xmax, max(l_suppkey % 30 + 4 + l_linenumber * 3)::DOUBLE AS ymax FROM lineitem GROUP BY 1, 2)"""
 SQL = {
+    "x15_flagged_boxes": f"""WITH k AS {_LINE_BOXES} SELECT page, count(*) FILTER (EXISTS (SELECT 1 FROM k AS b WHERE b.page = a.page AND b.box % 2 = 0 AND {_COVERS}))::BIGINT AS n_flagged, count(*) AS n
+      FROM k AS a WHERE box % 2 = 1 GROUP BY page""",
     "t5_markdown": rf"SELECT doc_id, md5(regexp_replace(replace(replace({_T5}, '\. ', '. '), '\bm{{', '\mathbf{{'), '(https?://[\w_-]+(?:\.[\w_-]+)+[\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])', '[\1](\1)', 'g')) AS digest FROM documents",
     "h2_page_rows": f"SELECT doc_id, site, {_language_sql('text')} AS language, len(text)::INT AS n_chars FROM documents WHERE site IS NOT NULL",
     "a11_best_caption": """WITH w AS (SELECT DISTINCT element_id, rec_id, element_type, list_distinct(list_filter(string_split_regex(lower(text), '[^\\pL]+'), lambda w: len(w) > 3)) AS words FROM (SELECT DISTINCT element_id, rec_id, element_type, text FROM grobid_elements WHERE text IS NOT NULL)),
