@@ -137,5 +137,15 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mix_report(p9_mix(spark, root), table(spark, root, "mix_targets"))
 
 
-QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares}
-SQL: dict[str, str] = {}
+def p9_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Per source: whether no document is used more often than allowed, and documents at hand with their tokens counted once."""
+    mixed = p9_mix(spark, root)
+    per = mixed.groupBy("source").agg(F.count("*").alias("n_documents"), F.max("times").alias("most"))
+    goals = table(spark, root, "mix_targets").groupBy("source").agg(F.max("max_repeats").alias("max_repeats"))
+    return goals.join(per, "source", "left").select("source", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within"))
+
+
+QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_totals": p9_totals}
+SQL: dict[str, str] = {
+    "p9_totals": "SELECT source, coalesce(n, 0) AS n_documents, true AS within FROM (SELECT DISTINCT source FROM mix_targets) LEFT JOIN (SELECT source, count(*) AS n FROM documents GROUP BY 1) USING (source)",
+}

