@@ -70,7 +70,10 @@ def radius_join(names: DataFrame, group: list[str], name: str, radius: int = RAD
     pivots = distinct.join(sizes, group).filter(drawn | (F.col("name") == F.col("one"))).select(*group, F.col("name").alias("pivot"))
     # a cell's pivots go as one list to each of its names, so that no row per name and pivot is made or shuffled
     lists = pivots.groupBy(*group).agg(F.array_sort(F.collect_list("pivot")).alias("pivots")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PIVOT_SALT - 1))))
-    salted = distinct.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(PIVOT_SALT)).cast("int")).join(lists, [*group, "salt"])
+    # names are few bytes but much work, so that adaptive execution must not put them into a few tasks
+    spark = names.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    salted = distinct.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(PIVOT_SALT)).cast("int")).repartition(tasks, *group, "salt").join(lists, [*group, "salt"])
     apart = F.transform(F.array(F.transform("pivots", lambda p: F.levenshtein("name", p))), lambda d: F.struct(d.alias("d"), F.array_min(d).alias("least")))
     homed = F.transform(apart, lambda x: F.array_position(x["d"], x["least"]))[0].cast("int")
     near = F.transform(apart, lambda x: F.filter(F.sequence(F.lit(1), F.size(x["d"])), lambda i: F.element_at(x["d"], i) <= x["least"] + 2 * radius))[0]
